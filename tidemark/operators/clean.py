@@ -21,7 +21,7 @@ def parse_dates(panel: DataFrame, spec: PanelSpec = EPIDEMIC) -> DataFrame:
     """Typed date; rows whose date cannot be read are dropped."""
     day = F.col(spec.date)
     if panel.schema[spec.date].dataType.simpleString() == "string":
-        day = F.coalesce(F.try_to_date(day, F.lit("yyyy-MM-dd")), day.try_cast("date"))
+        day = F.coalesce(F.try_to_date(day, "yyyy-MM-dd"), day.try_cast("date"))
     return panel.withColumn(spec.date, day.cast("date")).where(F.col(spec.date).isNotNull())
 
 

@@ -469,7 +469,7 @@ def rank_entities(panel: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC)
     """Competition ranks by latest total cases and by mean deaths per million."""
     per = panel.groupBy(spec.entity).agg(
         F.max_by("total_cases", spec.date).alias("total_cases"),
-        E.rnd(F.avg("total_deaths_per_million"), 6).alias("avg_deaths_per_million"),
+        E.rnd(F.avg("total_deaths_per_million"), 4).alias("avg_deaths_per_million"),
     )
     rows = materialise(per.join(dim, spec.entity).select(
         spec.label, "total_cases", "avg_deaths_per_million"
