@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import exprs as E
-from tidemark.operators.panel import fill_forward, one_row_per_key, rolling_mean
+from tidemark.operators.panel import carried, one_row_per_key, rolling_mean, row_mean
 from tidemark.spec import AGGREGATE_PREFIX, COUNT_COLUMNS, EPIDEMIC, PanelSpec
 
 
@@ -103,13 +103,14 @@ def _group_key(panel: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def clean(
     raw: DataFrame, spec: PanelSpec = EPIDEMIC, unique: bool = False,
-    whole: tuple[str, ...] = COUNT_COLUMNS,
+    whole: tuple[str, ...] = COUNT_COLUMNS, partitions: int | None = None,
 ) -> DataFrame:
     """All cleaning steps in order.
 
     The result has one row per (label, date), as the tables it feeds require; ``unique=True``
     declares that the input already does and saves that step's shuffle. The fill and both rolling
-    means then share one shuffle on the series key.
+    means are one window pass over one shuffle. ``partitions`` fixes that shuffle's width; without
+    it the width is chosen at run time from the data's size.
     """
     panel = drop_aggregate_rows(raw, spec=spec)
     panel = parse_dates(panel, spec)
@@ -117,19 +118,22 @@ def clean(
     panel = _group_key(panel, spec)
     if not unique:
         panel = one_row_per_key(panel, ["_series", spec.date])
-    panel = fill_forward(
-        panel, [c for c in spec.cumulative if c in panel.columns], "_series", spec.date
-    )
+    if partitions:
+        panel = panel.repartition(partitions, "_series")
     panel = zero_fill(panel, spec.daily)
-    panel = derived_rates(panel)
-    for rows in (7, 14):
-        outs = {
-            src: f"rolling_{rows}day_{name}" for src, name in spec.rolled if src in panel.columns
-        }
-        panel = rolling_mean(panel, outs, rows, "_series", spec.date)
-    unlabelled = F.col(spec.label).isNull()
+    labelled = F.col(spec.label).isNotNull()
     panel = panel.withColumns({
-        f"rolling_{rows}day_{name}": F.when(~unlabelled, F.col(f"rolling_{rows}day_{name}"))
-        for rows in (7, 14) for src, name in spec.rolled if src in panel.columns
+        **{
+            c: carried(c, "_series", spec.date)
+            for c in spec.cumulative if c in panel.columns
+        },
+        **{
+            f"rolling_{rows}day_{name}":
+                F.when(labelled, row_mean(F.col(src), rows, "_series", spec.date))
+            for rows in (7, 14) for src, name in spec.rolled if src in panel.columns
+        },
     })
-    return date_parts(panel.drop("_series"), spec.date)
+    rolled = [c for c in panel.columns if c.startswith("rolling_")]
+    rates = derived_rates(panel)
+    ordered = [*raw.columns, *[c for c in rates.columns if c not in panel.columns], *rolled]
+    return date_parts(rates.select(*ordered), spec.date)

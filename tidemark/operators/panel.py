@@ -37,31 +37,42 @@ def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def _is_fixed_width(panel: DataFrame, column: str) -> bool:
+    return isinstance(panel.schema[column].dataType, _FIXED_WIDTH)
+
+
+def _with_text(
+    out: DataFrame, panel: DataFrame, texts: list[str], key: str, date: str, known: bool
+) -> DataFrame:
+    """Add each text column's value at its last date.
+
+    Text cannot live in a hash aggregate's buffer but can be its key: rows are first reduced to
+    (key, text) with the last date, and only that short list is searched for the latest text.
+    """
+    for c in texts:
+        rows = panel.where(F.col(c).isNotNull()) if known else panel
+        seen = rows.groupBy(key, c).agg(F.max(date).alias("_last"))
+        out = out.join(seen.groupBy(key).agg(F.max_by(c, "_last").alias(c)), key, "left")
+    return out
+
+
 def latest_row(
     panel: DataFrame, spec: PanelSpec = EPIDEMIC, columns: list[str] | None = None,
     where: Column | None = None,
 ) -> DataFrame:
     """The whole row of each entity's last date, NULLs included.
 
-    Fixed-width columns use ``max_by``, a hash aggregate with map-side combining and no sort.
-    Text columns cannot live in a hash aggregate's buffer; with any of them present the window
-    form is used, which drops all but one row per entity before its shuffle.
+    ``max_by`` on fixed-width columns is a hash aggregate: combined in the map tasks, never sorted.
     """
     if where is not None:
         panel = panel.where(where)
     columns = columns or [c for c in panel.columns if c != spec.entity]
-    types = {f.name: f.dataType for f in panel.schema.fields}
-    if all(isinstance(types[c], _FIXED_WIDTH) for c in columns):
-        picks = [
-            (F.max(c) if c == spec.date else F.max_by(c, spec.date)).alias(c) for c in columns
-        ]
-        return panel.groupBy(spec.entity).agg(*picks)
-    w = Window.partitionBy(spec.entity).orderBy(F.desc(spec.date))
-    return (
-        panel.select(*dict.fromkeys([spec.entity, spec.date, *columns]))
-        .withColumn("_n", F.row_number().over(w)).where("_n = 1")
-        .select(spec.entity, *columns)
-    )
+    fixed = [c for c in columns if _is_fixed_width(panel, c)]
+    texts = [c for c in columns if c not in fixed]
+    picks = [(F.max(c) if c == spec.date else F.max_by(c, spec.date)).alias(c) for c in fixed]
+    out = panel.groupBy(spec.entity).agg(*(picks or [F.max(spec.date).alias("_last")]))
+    out = _with_text(out, panel, texts, spec.entity, spec.date, known=False)
+    return out.select(spec.entity, *columns)
 
 
 def latest_values(
@@ -71,23 +82,37 @@ def latest_values(
     """Each column's last non-NULL value per entity, possibly from different dates."""
     key = key or spec.label
     columns = columns or [c for c in panel.columns if c != key]
+    panel = panel.where(F.col(key).isNotNull())
+    fixed = [c for c in columns if _is_fixed_width(panel, c)]
+    texts = [c for c in columns if c not in fixed]
     picks = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(spec.date))).alias(c) for c in columns
+        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(spec.date))).alias(c) for c in fixed
     ]
-    return panel.where(F.col(key).isNotNull()).groupBy(key).agg(*picks)
+    out = panel.groupBy(key).agg(*(picks or [F.max(spec.date).alias("_last")]))
+    out = _with_text(out, panel, texts, key, spec.date, known=True)
+    return out.select(key, *columns)
 
 
-def fill_forward(panel: DataFrame, columns: list[str], key: str, date: str = "date") -> DataFrame:
+def carried(column: str, key: str, date: str = "date") -> Column:
+    """The column's last known value so far."""
     w = Window.partitionBy(key).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    return panel.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    return F.last(column, ignorenulls=True).over(w)
+
+
+def row_mean(value: Column, rows: int, key: str, date: str = "date") -> Column:
+    """Mean over the last ``rows`` rows, or as many as exist; gaps in the calendar are ignored."""
+    return F.avg(value).over(Window.partitionBy(key).orderBy(date).rowsBetween(1 - rows, 0))
+
+
+def fill_forward(panel: DataFrame, columns: list[str], key: str, date: str = "date") -> DataFrame:
+    return panel.withColumns({c: carried(c, key, date) for c in columns})
 
 
 def rolling_mean(
     panel: DataFrame, columns: dict[str, str], rows: int, key: str, date: str = "date"
 ) -> DataFrame:
-    """Mean over the last ``rows`` rows, or as many as exist; gaps in the calendar are ignored."""
-    w = Window.partitionBy(key).orderBy(date).rowsBetween(1 - rows, 0)
-    return panel.withColumns({out: F.avg(src).over(w) for src, out in columns.items()})
+    means = {out: row_mean(F.col(src), rows, key, date) for src, out in columns.items()}
+    return panel.withColumns(means)
 
 
 def lagged(panel: DataFrame, column: str, rows: int, spec: PanelSpec = EPIDEMIC) -> Column:

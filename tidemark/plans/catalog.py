@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions import exprs as E
 from tidemark.operators import clean as C, datasets as G, quality as Q, reports as R
 from tidemark.operators import star, stats as S, views as V, waves
-from tidemark.operators.panel import latest_row, latest_values, nearest_date
+from tidemark.operators.panel import (
+    fill_forward, latest_row, latest_values, nearest_date, rolling_mean,
+)
 from tidemark.plans.derived import as_text
 from tidemark.plans.stages import Settings, run_stages, view_builders
 from tidemark.plans.warehouse import Warehouse, open_warehouse
@@ -51,7 +53,8 @@ def query(key: str) -> Callable[[Query], Query]:
 def stable(df: DataFrame) -> DataFrame:
     """Doubles to six decimals, so that the order of summation does not show."""
     return df.select(*[
-        E.rnd(F.col(f.name), 6).alias(f.name) if f.dataType.typeName() == "double"
+        (F.floor(F.col(f.name) * 1e6 + 0.5) / 1e6).alias(f.name)
+        if f.dataType.typeName() == "double"
         else F.col(f.name) for f in df.schema.fields
     ])
 
@@ -63,10 +66,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {key: bound(build) for key, build in _queries.items()}
 
 
-def summary_of(w: Warehouse) -> DataFrame:
-    return latest_values(w.panel)
-
-
 # --- sources and sinks -------------------------------------------------------------------------
 
 def _csv(w: Warehouse) -> str:
@@ -75,7 +74,7 @@ def _csv(w: Warehouse) -> str:
 
 @query("read_raw_panel")
 def _(w):
-    return io.read_raw(w.tables.spark, _csv(w)).frame
+    return C.cast_numeric(io.read_raw(w.tables.spark, _csv(w)).frame, NUMERIC)
 
 
 @query("read_typed")
@@ -188,7 +187,7 @@ def _(w):
 @query("ffill_cumulative")
 def _(w):
     raw = C.drop_aggregate_rows(w.raw()).select("location", "date", *CUMULATIVE)
-    return C.fill_forward(raw, list(CUMULATIVE), "location")
+    return fill_forward(raw, list(CUMULATIVE), "location")
 
 
 @query("zero_fill_daily")
@@ -210,7 +209,7 @@ query("mortality_per_million")(_rate(lambda: E.per_million("total_deaths")))
 def _(w):
     panel = w.panel.select("iso_code", "date", "new_cases", "new_deaths")
     for rows in (7, 14):
-        panel = C.rolling_mean(
+        panel = rolling_mean(
             panel, {"new_cases": f"cases_{rows}", "new_deaths": f"deaths_{rows}"}, rows, "iso_code"
         )
     return panel
@@ -230,7 +229,7 @@ def _(w):
 @query("per_million_fallback")
 def _(w):
     columns = ["location", "total_cases", "total_deaths", "population"]
-    return C.ensure_per_million(summary_of(w).select(*columns))
+    return C.ensure_per_million(w.summary.select(*columns))
 
 
 @query("clip_floor")
@@ -258,7 +257,7 @@ def _(w):
 
 @query("percent_if_fraction")
 def _(w):
-    rows = E.percent_if_all_fractions(summary_of(w), "case_fatality_rate", "by_column")
+    rows = E.percent_if_all_fractions(w.summary, "case_fatality_rate", "by_column")
     guess = E.percent_if_fraction(F.col("human_development_index"))
     return rows.select("location", "by_column", guess.alias("by_value"))
 
@@ -277,7 +276,7 @@ query("dim_entity_last_known")(lambda w: star.dim_entity(w.panel, last_known=Tru
 query("dim_date")(lambda w: star.dim_date(w.panel))
 query("fact_daily")(lambda w: star.fact_daily(waves.label_waves(w.panel, w.peaks)))
 query("latest_row")(lambda w: latest_row(w.fact))
-query("latest_values")(summary_of)
+query("latest_values")(lambda w: latest_values(w.panel))
 query("check_ranges")(lambda w: Q.sanity_counts(w.panel))
 query("check_row_counts")(lambda w: Q.reconcile(w.panel, w.fact))
 query("check_keys")(lambda w: Q.constraint_report(w.fact, w.entities, w.dates))
@@ -344,12 +343,12 @@ def _(w):
     return waves.label_waves(panel, peaks).drop("new_cases_smoothed")
 
 
-query("correlation_matrix")(lambda w: S.correlation_matrix(summary_of(w)))
+query("correlation_matrix")(lambda w: S.correlation_matrix(w.summary))
 
 
 def _tested(method: str) -> Query:
     return lambda w: S.correlation_test(
-        summary_of(w), "vaccination_rate", "case_fatality_rate", method
+        w.summary, "vaccination_rate", "case_fatality_rate", method
     )
 
 
@@ -360,28 +359,28 @@ query("spearman_test")(_tested("spearman"))
 @query("min_max")
 def _(w):
     columns = ("vaccination_rate", "case_fatality_rate", "gdp_per_capita")
-    rows = materialise(summary_of(w).select("location", *columns))
+    rows = materialise(w.summary.select("location", *columns))
     rows = S.min_max(rows, {c: f"scaled_{c}" for c in columns})
     return rows.select("location", *[f"scaled_{c}" for c in columns])
 
 
-query("risk_scores")(lambda w: S.risk_scores(summary_of(w)))
+query("risk_scores")(lambda w: S.risk_scores(w.summary))
 query("risk_scores_sql")(lambda w: V.high_risk(w.fact, w.entities, MIN_POP))
 
 
 @query("risk_weighted")
 def _(w):
-    return S.risk_weighted(summary_of(w)).select("location", "composite_risk_score")
+    return S.risk_weighted(w.summary).select("location", "composite_risk_score")
 
 
 query("ols_trend")(
-    lambda w: S.ols_trend(summary_of(w), "vaccination_rate", "case_fatality_rate", 100)
+    lambda w: S.ols_trend(w.summary, "vaccination_rate", "case_fatality_rate", 100)
 )
 
 
 @query("quantile_trim")
 def _(w):
-    rows = S.quantile_trim(summary_of(w), "vaccination_rate", "case_fatality_rate")
+    rows = S.quantile_trim(w.summary, "vaccination_rate", "case_fatality_rate")
     return rows.select("location", "vaccination_rate", "case_fatality_rate")
 
 
@@ -397,11 +396,11 @@ query("peak_in_window")(
         w.fact.where(F.col("iso_code") == FOCUS), "new_cases", PEAK_WINDOWS
     )
 )
-query("top_n_metric")(lambda w: G.top_n(summary_of(w), "total_cases_per_million"))
-query("scatter_coverage_cfr")(lambda w: G.coverage_vs_cfr(summary_of(w), FOCUS))
-query("scatter_coverage_cfr_group")(lambda w: G.coverage_vs_cfr(summary_of(w), FOCUS, GROUP))
+query("top_n_metric")(lambda w: G.top_n(w.summary, "total_cases_per_million"))
+query("scatter_coverage_cfr")(lambda w: G.coverage_vs_cfr(w.summary, FOCUS))
+query("scatter_coverage_cfr_group")(lambda w: G.coverage_vs_cfr(w.summary, FOCUS, GROUP))
 query("scatter_coverage_cfr_trimmed")(
-    lambda w: G.coverage_vs_cfr_trimmed(summary_of(w), FOCUS_LABEL)
+    lambda w: G.coverage_vs_cfr_trimmed(w.summary, FOCUS_LABEL)
 )
 query("kpi_cards")(lambda w: G.kpi_cards(w.panel, WINDOW))
 query("global_daily_rolling")(lambda w: G.global_daily(w.panel))
@@ -422,7 +421,7 @@ def _(w):
 
 query("benchmark_compare")(lambda w: G.benchmark(w.panel, LABELS))
 query("radar_normalised")(lambda w: G.radar(G.benchmark(w.panel, LABELS)))
-query("top_risk")(lambda w: G.top_risk(S.risk_scores(summary_of(w))))
+query("top_risk")(lambda w: G.top_risk(S.risk_scores(w.summary)))
 query("focus_vs_benchmarks")(lambda w: G.compare_series(w.panel, LABELS, "new_cases_smoothed"))
 query("map_metric")(lambda w: G.map_metric(w.fact, w.entities, "vaccination_rate"))
 query("group_by_month_stack")(lambda w: G.monthly_stack(w.panel))

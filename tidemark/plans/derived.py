@@ -114,9 +114,13 @@ def daily_sums(tables: Tables, first: dt.date, last: dt.date) -> DataFrame:
     return stacked.groupBy("supplier", "date").agg(*[F.sum(c).alias(c) for c in DAILY_SUMS])
 
 
-def raw_panel(tables: Tables, first: dt.date, last: dt.date) -> DataFrame:
+def raw_panel(
+    tables: Tables, first: dt.date, last: dt.date, partitions: int | None = None
+) -> DataFrame:
     """The raw panel in its source columns; all windows share one shuffle on the supplier."""
     daily = daily_sums(tables, first, last)
+    if partitions:
+        daily = daily.repartition(partitions, "supplier")
     whole = Window.partitionBy("supplier")
     by_day = whole.orderBy("date")
     week = by_day.rowsBetween(-6, 0)

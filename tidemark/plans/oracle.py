@@ -21,7 +21,7 @@ def rnd(expr: str, digits: int) -> str:
 
 
 def d6(expr: str, name: str | None = None) -> str:
-    return f"{rnd(expr, 6)} AS {name or expr}"
+    return f"floor(CAST({expr} AS DOUBLE) * 1e6 + 0.5) / 1e6 AS {name or expr}"
 
 
 def big(expr: str, name: str) -> str:
@@ -319,11 +319,6 @@ _vax2 = rnd("vaccination_rate", 2) + " AS vaccination_rate_pct"
 
 
 # --- sources and sinks
-def _texts(columns, source: str, cast: str) -> str:
-    return f"SELECT {', '.join(columns)} FROM {source}"
-
-
-# Text columns hold each engine's own spelling of a double, so only exact spellings are compared.
 Q["read_typed"] = f"SELECT {shown(PANEL_COLUMNS)} FROM panel"
 Q["write_panel"] = Q["read_typed"]
 Q["entity_slice"] = f"SELECT {shown(PANEL_COLUMNS)} FROM panel WHERE location = '{K.FOCUS_LABEL}'"
@@ -334,6 +329,12 @@ Q["load_staging"] = "SELECT count(*) AS rows FROM daily"
 Q["insert_new_rows"] = "SELECT iso_code, date, new_cases FROM daily"
 Q["reload"] = f"SELECT {shown(DIM_COLUMNS)} FROM dim"
 
+def _named_counts(selects: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS rows FROM ({sql})" for name, sql in selects.items()
+    )
+
+
 # --- cleaning
 Q["drop_aggregate_rows"] = f"SELECT {', '.join(KEY_COLUMNS)} FROM series"
 Q["parse_dates"] = (
@@ -1015,6 +1016,23 @@ Q["canned_high_cfr"] = Q["top_cfr"]
 Q["canned_vacc_leaders"] = Q["top3_per_group"]
 Q["canned_monthly_trend"] = Q["global_monthly"]
 Q["canned_continent_summary"] = Q["v_continental_summary"]
+Q["read_raw_panel"] = Q["cast_numeric"]
+_EXPORTED = (
+    "v_global_daily_trend", "v_continental_summary", "v_country_latest", "v_entity_timeline",
+    "v_monthly_by_group", "v_coverage_progress", "v_high_risk", "v_wave_summary",
+)
+Q["export_views"] = _named_counts({name: Q[name] for name in _EXPORTED})
+Q["full_run"] = _named_counts({
+    "panel": "SELECT 1 FROM panel", "staging": "SELECT 1 FROM panel",
+    "waves": "SELECT 1 FROM panel", "fact": "SELECT 1 FROM panel",
+    "focus": f"SELECT 1 FROM panel WHERE iso_code = '{K.FOCUS}'",
+    "summary": "SELECT 1 FROM summary", "dim_entity": "SELECT 1 FROM dim",
+    "dim_date": "SELECT 1 FROM dates", "risk": "SELECT 1 FROM scored",
+    "correlations": Q["correlation_matrix"],
+    "correlation_tests": "SELECT 1 FROM tested WHERE n >= 10",
+    "sanity": Q["check_ranges"], "constraints": Q["check_keys"],
+    "reconciliation": Q["check_row_counts"],
+})
 
 
 def oracle_sql() -> dict[str, str]:

@@ -102,6 +102,7 @@ def run_stages(
     def star_stage() -> None:
         labelled = table("waves" if "waves" in result.tables else "panel")
         load_staging(labelled, path["staging"])
+        result.tables["staging"] = path["staging"]
         staged = table("staging")
         save("dim_entity", dim_entity(staged, s.spec))
         save("dim_date", dim_date(staged, s.spec))

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.clean import clean
+from tidemark.operators.panel import latest_values
 from tidemark.operators.star import dim_date, dim_entity, fact_daily
 from tidemark.operators.waves import detect_peaks, label_waves
 from tidemark.plans.derived import Tables, raw_panel
@@ -34,9 +35,11 @@ class Warehouse:
     entities: DataFrame
     dates: DataFrame
     peaks: DataFrame
+    summary: DataFrame
 
     def raw(self) -> DataFrame:
-        return raw_panel(self.tables, *self.tables.span())
+        buckets = bucket_count(self.tables.spark, self.panel.count())
+        return raw_panel(self.tables, *self.tables.span(), buckets)
 
 
 def bucket_count(spark: SparkSession, rows: int) -> int:
@@ -50,7 +53,7 @@ def save_bucketed(
     spark = df.sparkSession
     path = fresh_path(spark, name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    order = [spec.entity, spec.date] if spec.date in df.columns else [spec.entity]
+    order = [c for c in (spec.entity, spec.date) if c in df.columns]
     (
         df.repartition(buckets, spec.entity).sortWithinPartitions(*order)
         .write.bucketBy(buckets, spec.entity).sortBy(*order).option("path", path)
@@ -67,17 +70,19 @@ def build(
     days = (last - first).days + 1
     buckets = bucket_count(spark, tables.read("supplier").count() * days)
     # The derived raw panel groups by (supplier, date), so its keys are unique already.
-    panel = save_bucketed(
-        clean(raw_panel(tables, first, last), spec, unique=True), "panel", buckets, spec
-    )
+    raw = raw_panel(tables, first, last, buckets)
+    panel = clean(raw, spec, unique=True, partitions=buckets)
+    panel = save_bucketed(panel, "panel", buckets, spec)
     peaks = detect_peaks(panel, distance=distance, least=least, spec=spec)
     peaks = save_bucketed(peaks, "peaks", buckets, spec)
     labelled = label_waves(panel, peaks, spec)
     fact = save_bucketed(fact_daily(labelled, spec, unique=True), "fact", buckets, spec)
     entities = save_bucketed(dim_entity(panel, spec), "entities", buckets, spec)
+    summary = save_bucketed(latest_values(panel, spec), "summary", buckets, spec)
     path = fresh_path(spark, "dates")
     dim_date(panel, spec).coalesce(1).write.parquet(path)  # one row per calendar day
-    return Warehouse(tables, panel, fact, entities, spark.read.parquet(path), peaks)
+    dates = spark.read.parquet(path)
+    return Warehouse(tables, panel, fact, entities, dates, peaks, summary)
 
 
 def open_warehouse(
