@@ -69,7 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --- sources and sinks -------------------------------------------------------------------------
 
 def _csv(w: Warehouse) -> str:
-    return io.write(as_text(w.raw()), fresh_path(w.tables.spark, "raw"), "csv")
+    return io.write(as_text(w.raw), fresh_path(w.tables.spark, "raw"), "csv")
 
 
 @query("read_raw_panel")
@@ -166,12 +166,12 @@ def _(w):
 
 @query("drop_aggregate_rows")
 def _(w):
-    return C.drop_aggregate_rows(w.raw()).select(*KEY_COLUMNS)
+    return C.drop_aggregate_rows(w.raw).select(*KEY_COLUMNS)
 
 
 @query("parse_dates")
 def _(w):
-    return C.parse_dates(as_text(w.raw()).select(*KEY_COLUMNS, "new_cases"))
+    return C.parse_dates(as_text(w.raw).select(*KEY_COLUMNS, "new_cases"))
 
 
 @query("sort_panel")
@@ -181,18 +181,18 @@ def _(w):
 
 @query("cast_numeric")
 def _(w):
-    return C.cast_numeric(as_text(w.raw()), NUMERIC)
+    return C.cast_numeric(as_text(w.raw), NUMERIC)
 
 
 @query("ffill_cumulative")
 def _(w):
-    raw = C.drop_aggregate_rows(w.raw()).select("location", "date", *CUMULATIVE)
+    raw = C.drop_aggregate_rows(w.raw).select("location", "date", *CUMULATIVE)
     return fill_forward(raw, list(CUMULATIVE), "location")
 
 
 @query("zero_fill_daily")
 def _(w):
-    return C.zero_fill(w.raw().select("iso_code", "date", *DAILY), DAILY)
+    return C.zero_fill(w.raw.select("iso_code", "date", *DAILY), DAILY)
 
 
 def _rate(column: Callable[[], Column]) -> Query:
@@ -240,7 +240,7 @@ def _(w):
 
 @query("clean_panel")
 def _(w):
-    return C.clean(as_text(w.raw()))
+    return C.clean(as_text(w.raw))
 
 
 @query("recovery_rate")
@@ -411,7 +411,7 @@ query("wave_boundaries")(lambda w: G.wave_intervals(w.panel, w.peaks))
 @query("nearest_date")
 def _(w):
     """Asked of every entity: the observed day (with cases) nearest to each wanted date."""
-    seen = w.raw().where(F.col("new_cases").isNotNull() & ~F.col("iso_code").startswith("OWID_"))
+    seen = w.raw.where(F.col("new_cases").isNotNull() & ~F.col("iso_code").startswith("OWID_"))
     wanted = F.explode(F.array(*[F.lit(d) for d in WANTED_DATES])).alias("text")
     dates = w.entities.select("iso_code", wanted).select(
         "iso_code", F.try_to_date("text").alias("wanted_date")
@@ -440,7 +440,7 @@ query("calendar_7d_avg")(lambda w: G.calendar_avg(w.fact))
 @query("calendar_7d_avg_by_entity")
 def _(w):
     """Over reported days only, so the calendar frame and a row frame differ."""
-    seen = w.raw().where(F.col("new_cases").isNotNull())
+    seen = w.raw.where(F.col("new_cases").isNotNull())
     return G.calendar_avg(seen, by="iso_code")
 
 

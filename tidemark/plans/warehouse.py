@@ -30,6 +30,7 @@ _lock = threading.Lock()
 @dataclass(frozen=True)
 class Warehouse:
     tables: Tables
+    raw: DataFrame
     panel: DataFrame
     fact: DataFrame
     entities: DataFrame
@@ -37,10 +38,6 @@ class Warehouse:
     peaks: DataFrame
     summary: DataFrame
 
-    def raw(self) -> DataFrame:
-        buckets = bucket_count(self.tables.spark, self.panel.count())
-        return raw_panel(self.tables, *self.tables.span(), buckets)
-
 
 def bucket_count(spark: SparkSession, rows: int) -> int:
     return max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_BUCKET))
@@ -70,7 +67,8 @@ def build(
     days = (last - first).days + 1
     buckets = bucket_count(spark, tables.read("supplier").count() * days)
     # The derived raw panel groups by (supplier, date), so its keys are unique already.
-    raw = raw_panel(tables, first, last, buckets)
+    # The raw panel lands as a table, so nothing downstream derives it again.
+    raw = save_bucketed(raw_panel(tables, first, last, buckets), "raw", buckets, spec)
     panel = clean(raw, spec, unique=True, partitions=buckets)
     panel = save_bucketed(panel, "panel", buckets, spec)
     peaks = detect_peaks(panel, distance=distance, least=least, spec=spec)
@@ -82,7 +80,7 @@ def build(
     path = fresh_path(spark, "dates")
     dim_date(panel, spec).coalesce(1).write.parquet(path)  # one row per calendar day
     dates = spark.read.parquet(path)
-    return Warehouse(tables, panel, fact, entities, dates, peaks, summary)
+    return Warehouse(tables, raw, panel, fact, entities, dates, peaks, summary)
 
 
 def open_warehouse(
