@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.scalars import scalars
 from tidemark.operators.panel import latest_row, latest_values, one_row_per_key
 from tidemark.spec import DIM_COLUMNS, EPIDEMIC, FACT_COLUMNS, PanelSpec, column_type
 
@@ -97,7 +96,3 @@ def fact_daily(
         F.col(spec.date).isNotNull()
     )
     return typed if unique else one_row_per_key(typed, [spec.entity, spec.date])
-
-
-def panel_span(panel: DataFrame, spec: PanelSpec = EPIDEMIC) -> dict[str, Column]:
-    return scalars(panel, first=F.min(spec.date), last=F.max(spec.date))

@@ -153,9 +153,7 @@ def _(w):
 def _(w):
     spark = w.tables.spark
     out = fresh_path(spark, "run")
-    settings = Settings(
-        focus=FOCUS, focus_label=FOCUS_LABEL, distance=DISTANCE, least=PROMINENCE, min_pop=MIN_POP
-    )
+    settings = Settings(focus=FOCUS, distance=DISTANCE, least=PROMINENCE, min_pop=MIN_POP)
     outcome = run_stages(spark, _csv(w), out, settings)
     if outcome.exit_code:
         raise RuntimeError(str(outcome.status))

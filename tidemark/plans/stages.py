@@ -23,7 +23,6 @@ STAGES = ("clean", "analyse", "star", "validate", "export")
 @dataclass
 class Settings:
     focus: str = FOCUS_ENTITY
-    focus_label: str = "India"
     distance: int = PEAK_DISTANCE
     least: float = PEAK_PROMINENCE
     min_pop: int = 1_000_000
