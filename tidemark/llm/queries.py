@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe
+from tidemark.llm import byte_bpe, language, lines, simhash, warc
+from tidemark.sources.shared import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,15 +16,51 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.report(table(spark, folder, "documents"))
+
+
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.report(table(spark, folder, "pages"), fresh_path(spark, "warc"))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.predictions(table(spark, folder, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.report(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op3_simhash": op3_simhash,
+        "op4_warc": op4_warc,
+        "op7_language_id": op7_language_id,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_line_dedup": op9_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_warc": WARC,
+    }
+
+
+# sha256() of DuckDB takes a string's UTF-8 bytes.
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), f AS (
+  SELECT html AS h, min(page_id) AS target FROM p WHERE n >= 100 GROUP BY html
+)
+SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN target <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN target <> page_id THEN target END AS refers_to
+FROM p LEFT JOIN f ON html = h
+"""
