@@ -9,6 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 Step = Callable[..., list[pa.Array]]
 
+ROWS = 512  # handled at once: bounds the Python objects, whatever the size of Spark's batches
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
 
 def named(name: str) -> Column:
     """A column by its exact name, dots and blanks included."""
@@ -43,7 +51,7 @@ def with_arrow(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
+        for batch in slices(batches):
             given = [batch.column(i).to_pylist() for i in range(len(keep), batch.num_columns)]
             kept = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, *step(*given)], names=names)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, language, lines, simhash, warc
+from tidemark.llm import ann, byte_bpe, language, lines, simhash, topk, warc
 from tidemark.sources.shared import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), divisor=50, k=5)
+
+
+def op2_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), divisor=20, k=20)
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.report(table(spark, folder, "documents"))
 
@@ -38,6 +46,8 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_topk": op1_topk,
+        "op2_ann": op2_ann,
         "op3_simhash": op3_simhash,
         "op4_warc": op4_warc,
         "op7_language_id": op7_language_id,
@@ -48,10 +58,27 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_topk": TOPK,
         "op4_warc": WARC,
     }
 
 
+TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank,
+    vec_id, score FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 # sha256() of DuckDB takes a string's UTF-8 bytes.
 WARC = """
 WITH p AS (
