@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding in Arrow batches.
 
-Encoding runs the tokenizers library on the units of a text (see ``units``): a unit is a run of
+Encoding runs the tokenizers library's model on the units of a text (see ``units``): a unit is a run of
 non-space characters with at most one space before it, or a run of white space, which are exactly
 the places where the split pattern always ends a match. Decoding maps every vocabulary entry back
 from its printable characters to bytes and joins them, so a character that is split over several
@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.arrow import named, with_arrow
-from tidemark.llm.units import WHITE, load_tokenizer, shared_encoder
+from tidemark.llm.units import (
+    WHITE, as_characters, byte_characters, load_tokenizer, shared_encoder,
+)
 
 _UNIT = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
@@ -31,11 +33,22 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def byte_characters() -> dict[str, int]:
-    """Printable character to byte: printable Latin-1 stands for itself, the rest from U+0100 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+def _pieces(unit: str) -> list[str]:
+    import public_tokenizers
+    import regex
+
+    global _pattern
+    word = unit[1:] if unit[0] == " " else unit
+    if word.isalpha():  # the two most frequent shapes need no pattern
+        return [as_characters(unit)]
+    if word[-1:] in ".,;:!?" and word[:-1].isalpha():
+        return [as_characters(unit[:-1]), unit[-1]]
+    if _pattern is None:
+        _pattern = regex.compile(public_tokenizers.PATTERN).findall
+    return list(map(as_characters, _pattern(unit)))
+
+
+_pattern = None
 
 
 def token_bytes(path: str) -> list[bytes]:
@@ -70,7 +83,7 @@ def encode(
     path = path or vocabulary_path()
 
     def make():
-        encoder = shared_encoder(path, "byte", _UNIT.findall)
+        encoder = shared_encoder(path, "byte", _UNIT.findall, _pieces)
         sizes = None
         if offsets:
             sizes = np.array([len(b) for b in _table(path)], np.int64)

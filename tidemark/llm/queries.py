@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, byte_bpe, language, lines, pii, simhash, topk, warc
+from tidemark.llm import ann, byte_bpe, language, lines, packing, pii, simhash, topk, warc
 from tidemark.sources.shared import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.report(table(spark, folder, "pages"), fresh_path(spark, "warc"))
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.report(table(spark, folder, "documents"))
+
+
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
@@ -54,6 +58,7 @@ def queries() -> dict[str, Query]:
         "op2_ann": op2_ann,
         "op3_simhash": op3_simhash,
         "op4_warc": op4_warc,
+        "op5_packing": op5_packing,
         "op6_pii": op6_pii,
         "op7_language_id": op7_language_id,
         "op8_byte_bpe": op8_byte_bpe,

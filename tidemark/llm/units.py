@@ -15,7 +15,7 @@ import numpy as np
 WHITE = "\t-\r \x85\xa0  -     　"
 
 LONGEST_CACHED = 48  # characters; longer units are encoded anew each time
-MOST_CACHED = 1_500_000  # units; the cache starts again when full
+MOST_CACHED = 250_000  # units and pieces (about 60 MB); the cache starts again when full
 
 
 def load_tokenizer(path: str):
@@ -28,43 +28,87 @@ def load_tokenizer(path: str):
 
 
 class UnitEncoder:
-    """Ids of a text as little-endian unsigned integers (16 bit where the vocabulary allows)."""
+    """Ids of a text as little-endian unsigned integers (16 bit where the vocabulary allows).
 
-    def __init__(self, path: str, split: Callable[[str], list[str]]):
+    ``split`` cuts a text into units. ``pieces`` cuts a unit into the strings that the tokenizer's
+    model sees one by one, or returns None where only the whole tokenizer will do.
+    """
+
+    def __init__(
+        self, path: str, split: Callable[[str], list[str]],
+        pieces: Callable[[str], list[str] | None], most: int = MOST_CACHED,
+    ):
         self.tokenizer = load_tokenizer(path)
-        self.split = split
+        self.split, self.pieces, self.most = split, pieces, most
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
-
-    def _encode(self, units: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(units, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        self.parts: dict[str, bytes] = {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        width = self.dtype.itemsize
+        return b"".join([i.to_bytes(width, "little") for i in ids])
+
+    def _unit(self, unit: str) -> bytes:
+        pieces = self.pieces(unit)
+        if pieces is None:
+            return self._bytes(self.tokenizer.encode(unit, add_special_tokens=False).ids)
+        out = []
+        for piece in pieces:
+            ids = self.parts.get(piece)
+            if ids is None:
+                ids = self._bytes([t.id for t in self.model.tokenize(piece)])
+                if len(piece) <= LONGEST_CACHED:
+                    self.parts[piece] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def ids(self, text: str) -> np.ndarray:
         units = self.split(text)
+        if len(self.cache) + len(self.parts) > self.most:
+            self.cache.clear()
+            self.parts.clear()
         cache = self.cache
-        new = set(units) - cache.keys()
-        rare: dict[str, bytes] = {}
-        if new:
-            if len(cache) + len(new) > MOST_CACHED:
-                cache.clear()
-                new = set(units)
-            new = list(new)
-            for unit, ids in zip(new, self._encode(new)):
-                (cache if len(unit) <= LONGEST_CACHED else rare)[unit] = ids
-        if rare:
-            joined = b"".join([rare[u] if u in rare else cache[u] for u in units])
-        else:
-            joined = b"".join(map(cache.__getitem__, units))
-        return np.frombuffer(joined, self.dtype)
+        out = list(map(cache.get, units))
+        if None in out:
+            for i, found in enumerate(out):
+                if found is None:
+                    unit = units[i]
+                    found = cache.get(unit)
+                    if found is None:
+                        found = self._unit(unit)
+                        if len(unit) <= LONGEST_CACHED:
+                            cache[unit] = found
+                    out[i] = found
+        return np.frombuffer(b"".join(out), self.dtype)
 
 
 _encoders: dict[tuple[str, str], UnitEncoder] = {}
 
 
-def shared_encoder(path: str, kind: str, split: Callable[[str], list[str]]) -> UnitEncoder:
+def shared_encoder(
+    path: str, kind: str, split: Callable[[str], list[str]],
+    pieces: Callable[[str], list[str] | None], most: int = MOST_CACHED,
+) -> UnitEncoder:
     """One encoder per Python worker, kept between its tasks."""
     if (path, kind) not in _encoders:
-        _encoders[path, kind] = UnitEncoder(path, split)
+        _encoders[path, kind] = UnitEncoder(path, split, pieces, most)
     return _encoders[path, kind]
+
+
+def byte_characters() -> dict[str, int]:
+    """Printable character to byte: printable Latin-1 stands for itself, the rest from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+_SHOWN = {b: c for c, b in byte_characters().items()}
+
+
+def as_characters(piece: str) -> str:
+    """The UTF-8 bytes of a piece as the printable characters of byte-level vocabularies."""
+    if piece.isascii() and piece.isalnum():
+        return piece  # these bytes stand for themselves
+    return piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SHOWN)
