@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, byte_bpe, language, lines, packing, pii, simhash, topk, warc
+from tidemark.llm import ann, byte_bpe, language, lines, packing, pii, simhash, suffixes, topk, warc
 from tidemark.sources.shared import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.report(table(spark, folder, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.report(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_topk": op1_topk,
@@ -63,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op7_language_id": op7_language_id,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_line_dedup": op9_line_dedup,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
