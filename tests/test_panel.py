@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.operators import ranks as R, stats as S
 from tidemark.operators.datasets import calendar_avg, window_avg
@@ -79,13 +79,28 @@ def skewed(spark):
 @pytest.mark.parametrize("by", [[], ["g"]])
 @pytest.mark.parametrize("way", ["asc", "desc"])
 def test_range_ranks_equal_window_ranks(skewed, kind, by, way):
-    small = R.with_rank(skewed, "r", [("v", way)], kind, by)
-    large = R.with_rank(skewed, "r", [("v", way)], kind, by, small_rows=0)
-    assert {x.id: float(x.r) for x in small.collect()} == {x.id: float(x.r) for x in large.collect()}
+    order = F.col("v").asc_nulls_last() if way == "asc" else F.col("v").desc_nulls_last()
+    w, same = Window.partitionBy(*by).orderBy(order), Window.partitionBy(*by, "v")
+    plain = {
+        "rank": F.rank().over(w), "dense_rank": F.dense_rank().over(w),
+        "average": F.rank().over(w) + (F.count(F.lit(1)).over(same) - 1) / 2,
+    }[kind]
+    want = skewed.withColumn("r", plain)
+    got = R.with_rank(skewed, "r", [("v", way)], kind, by)
+    assert {x.id: float(x.r) for x in got.collect()} == {x.id: float(x.r) for x in want.collect()}
+
+
+def test_range_ranks_need_no_single_partition(skewed):
+    ranked = R.with_ranks(skewed, {
+        "a": ([("v", "asc")], "rank"), "b": ([("id", "desc")], "dense_rank"),
+    }, ["g"])
+    text = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text
+    assert ranked.columns == [*skewed.columns, "a", "b"] and ranked.count() == 4000
 
 
 def test_range_rank_of_a_total_order_is_a_row_number(skewed):
-    got = R.with_rank(skewed, "r", [("v", "desc"), ("id", "asc")], small_rows=0).collect()
+    got = R.with_rank(skewed, "r", [("v", "desc"), ("id", "asc")]).collect()
     assert sorted(x.r for x in got) == list(range(1, 4001))
 
 
@@ -100,9 +115,8 @@ def test_top_ranked_keeps_every_tie(skewed, by):
 
 
 @pytest.mark.parametrize("q", [0, 0.25, 0.5, 0.98, 1])
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_quantile_is_exact(spark, skewed, q, small):
-    got = spark.range(1).select(R.quantile(skewed, "v", q, small).alias("q")).first().q
+def test_quantile_is_exact(spark, skewed, q):
+    got = spark.range(1).select(R.quantile(skewed, "v", q).alias("q")).first().q
     assert got == pytest.approx(skewed.toPandas().v.quantile(q))
 
 
@@ -128,10 +142,9 @@ def _numbers(spark, n=300, seed=5):
     return pdf, frame.withColumn("gdp_per_capita", gdp)
 
 
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_correlations_match_pandas(spark, small):
+def test_correlations_match_pandas(spark):
     pdf, frame = _numbers(spark)
-    got = S.correlation_matrix(frame, small_rows=small).toPandas().set_index(
+    got = S.correlation_matrix(frame).toPandas().set_index(
         ["correlation_type", "metric"])
     names = ["vaccination_rate", "case_fatality_rate", "gdp_per_capita"]
     for kind in ("pearson", "spearman"):

@@ -156,6 +156,51 @@ def test_whole_run(spark, raw):
     assert spark.read.parquet(f"{out}/focus").count() == 90
 
 
+def test_reruns_of_single_stages_keep_the_waves(spark, raw):
+    source, out = io.write(raw, fresh_path(spark, "t"), "csv"), fresh_path(spark, "t")
+
+    def run(*stages):
+        return run_stages(
+            spark, source, out, Settings(focus="E03", distance=5, least=2, stages=stages)
+        )
+
+    def state():
+        views = spark.read.option("header", True).csv(f"{out}/views/v_wave_summary").collect()
+        rows = spark.read.parquet(f"{out}/fact").collect()
+        return sorted(map(str, rows)), sorted(map(str, views))
+
+    assert run("clean", "analyse", "star", "validate", "export").exit_code == 0
+    whole = state()
+    assert any("wave_number=" in r and "wave_number=None" not in r for r in whole[0]) and whole[1]
+    for stages in (("star", "export"), ("analyse",), ("validate",), ("export",), ("star",)):
+        assert run(*stages).exit_code == 0
+        assert state() == whole
+    renewed = run("clean", "star")
+    assert renewed.exit_code == 1 and "analyse" in renewed.status["star"]
+    nothing = run_stages(spark, source, fresh_path(spark, "t"), Settings(stages=("star",)))
+    assert nothing.exit_code == 1
+
+
+def test_bucket_counts_stay_under_the_engine_limit(spark):
+    from tidemark.plans.warehouse import MOST_BUCKETS, bucket_count
+
+    counts = [bucket_count(spark, 10**k) for k in range(14)] + [bucket_count(spark, int(2.5e12))]
+    assert counts == sorted(counts) or max(counts) == MOST_BUCKETS
+    assert max(counts) <= MOST_BUCKETS < 100_000 and bucket_count(spark, 10**9) == 1000
+
+
+def test_rounding_keeps_what_it_cannot_round(spark):
+    from tidemark.plans.catalog import relative, stable
+
+    values = [float("nan"), float("inf"), -float("inf"), 1e13, -1e300, 1.23456789, 1e-9, None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r.v for r in stable(rows).orderBy("i").collect()]
+    assert str(got[0]) == "nan" and got[1:3] == values[1:3] and got[5:] == [1.234568, 0.0, None]
+    assert got[3] == 1e13 and got[4] == pytest.approx(-1e300)
+    tiny = spark.range(1).select(relative(F.lit(1.23456789e-12)).alias("p")).first().p
+    assert tiny == 1.234568e-12
+
+
 def test_failed_cleaning_stops_and_stages_can_be_skipped(spark):
     gone = run_stages(spark, "/no/such/file.csv", fresh_path(spark, "t"))
     assert gone.exit_code == 1 and list(gone.status) == ["clean"]

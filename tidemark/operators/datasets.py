@@ -14,8 +14,8 @@ from tidemark.functions import exprs as E
 from tidemark.functions.scalars import scalars
 from tidemark.operators import reports, views
 from tidemark.operators.panel import by_date, day_number, lagged, latest_row, latest_values
-from tidemark.operators.ranks import top_rows, with_rank
-from tidemark.operators.stats import min_max, quantile_trim
+from tidemark.operators.ranks import top_rows, with_rank, with_ranks
+from tidemark.operators.stats import correlation_test, min_max, ols_trend, quantile_trim
 from tidemark.operators.waves import detect_peaks, label_waves
 from tidemark.sources.shared import materialise
 from tidemark.spec import BENCHMARK_LABELS, EPIDEMIC, PanelSpec
@@ -158,6 +158,34 @@ def coverage_vs_cfr(
     return rows.select(*columns, F.lit(False).alias("is_focus")).unionByName(star)
 
 
+def coverage_trend(
+    summary: DataFrame, group: str | None = None, points: int = 100, least: int = 6,
+    spec: PanelSpec = EPIDEMIC,
+) -> DataFrame:
+    """Least-squares line through the points of ``coverage_vs_cfr``, if there are ``least``."""
+    scaled = E.percent_if_all_fractions(summary, "case_fatality_rate", "cfr_pct")
+    rows = scaled.dropna(subset=["vaccination_rate", "cfr_pct"]).where("vaccination_rate > 0")
+    if group is not None:
+        rows = rows.where(F.col(spec.group) == group)
+    return ols_trend(rows, "vaccination_rate", "cfr_pct", points, least)
+
+
+def coverage_trend_trimmed(
+    summary: DataFrame, q: float = 0.98, points: int = 200, least: int = 6
+) -> DataFrame:
+    """Line through the trimmed points, with both correlation tests on the same rows."""
+    guess = E.percent_if_fraction(F.col("case_fatality_rate"))
+    rows = quantile_trim(summary.withColumn("cfr_pct", guess), "vaccination_rate", "cfr_pct", q)
+    rows = materialise(rows.select("vaccination_rate", "cfr_pct"))
+    line = ols_trend(rows, "vaccination_rate", "cfr_pct", points, least)
+    for method in ("pearson", "spearman"):
+        test = scalars(
+            correlation_test(rows, "vaccination_rate", "cfr_pct", method), r=F.max("r")
+        )
+        line = line.withColumn(f"{method}_r", test["r"])
+    return line
+
+
 def coverage_vs_cfr_trimmed(
     summary: DataFrame, focus: str, q: float = 0.98, spec: PanelSpec = EPIDEMIC
 ) -> DataFrame:
@@ -449,10 +477,9 @@ def share_of_total(
 
 def dense_rank_by(
     panel: DataFrame, dim: DataFrame, level: str = "entity", metric: str = "total_cases",
-    spec: PanelSpec = EPIDEMIC, small_rows: int | None = None,
+    spec: PanelSpec = EPIDEMIC,
 ) -> DataFrame:
     """Dense rank by largest total per entity, or by the sum of latest totals per group."""
-    extra = {} if small_rows is None else {"small_rows": small_rows}
     if level == "entity":
         tops = panel.groupBy(spec.entity).agg(F.max(metric).alias("value"))
         rows = tops.join(dim, spec.entity).select(F.col(spec.label).alias("member"), "value")
@@ -460,9 +487,7 @@ def dense_rank_by(
         rows = latest_row(panel, spec, [metric]).join(dim, spec.entity).groupBy(
             F.col(spec.group).alias("member")
         ).agg(F.sum(metric).alias("value"))
-    return with_rank(
-        materialise(rows), "dense_rank", [("value", "desc")], "dense_rank", **extra
-    )
+    return with_rank(materialise(rows), "dense_rank", [("value", "desc")], "dense_rank")
 
 
 def rank_entities(panel: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC) -> DataFrame:
@@ -474,8 +499,10 @@ def rank_entities(panel: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC)
     rows = materialise(per.join(dim, spec.entity).select(
         spec.label, "total_cases", "avg_deaths_per_million"
     ))
-    rows = with_rank(rows, "rank_total_cases", [("total_cases", "desc")])
-    return with_rank(rows, "rank_deaths_per_million", [("avg_deaths_per_million", "desc")])
+    return with_ranks(rows, {
+        "rank_total_cases": ([("total_cases", "desc")], "rank"),
+        "rank_deaths_per_million": ([("avg_deaths_per_million", "desc")], "rank"),
+    })
 
 
 def global_waves(panel: DataFrame, distance: int, least: float) -> DataFrame:

@@ -47,13 +47,16 @@ def _with_text(
     """Add each text column's value at its last date.
 
     Text cannot live in a hash aggregate's buffer but can be its key: rows are first reduced to
-    (key, text) with the last date, and only that short list is searched for the latest text.
+    (key, all texts) with the last date, and only that short list is searched for each latest text.
     """
-    for c in texts:
-        rows = panel.where(F.col(c).isNotNull()) if known else panel
-        seen = rows.groupBy(key, c).agg(F.max(date).alias("_last"))
-        out = out.join(seen.groupBy(key).agg(F.max_by(c, "_last").alias(c)), key, "left")
-    return out
+    if not texts:
+        return out
+    seen = panel.groupBy(key, *texts).agg(F.max(date).alias("_last"))
+    at = F.col("_last")
+    picks = [
+        F.max_by(c, F.when(F.col(c).isNotNull(), at) if known else at).alias(c) for c in texts
+    ]
+    return out.join(seen.groupBy(key).agg(*picks), key, "left")
 
 
 def latest_row(

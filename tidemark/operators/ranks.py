@@ -1,8 +1,7 @@
 """Ranking without handing a whole table to one task.
 
-Small inputs (counted, not assumed) use an ordinary window. Larger ones are cut into value ranges
-by ``repartitionByRange``, ranked inside each range and shifted by the number of rows in the ranges
-before it. Equal values are collapsed to one row with a count first, so a very frequent value costs
+Rows are cut into value ranges by ``repartitionByRange``, ranked inside each range and shifted by the
+number of rows in the ranges before it, at every size. Equal values are collapsed to one row with a count first, so a very frequent value costs
 one row, and one group's values spread over many ranges.
 """
 
@@ -13,8 +12,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.scalars import scalars
 from tidemark.sources.shared import materialise
 
-SMALL_ROWS = 100_000
-
 Order = list[tuple[str, str]]
 
 
@@ -56,32 +53,35 @@ def value_ranks(df: DataFrame, order: Order, by: list[str] | None = None) -> Dat
     )
 
 
-def with_rank(
-    df: DataFrame, out: str, order: Order, kind: str = "rank", by: list[str] | None = None,
-    small_rows: int = SMALL_ROWS,
+def with_ranks(
+    df: DataFrame, wanted: dict[str, tuple[Order, str]], by: list[str] | None = None
 ) -> DataFrame:
-    """Add ``rank``, ``dense_rank`` or ``average`` rank of the ordering, NULLs last.
+    """Add a column per (ordering, kind), kind being ``rank``, ``dense_rank`` or ``average``.
 
-    ``df`` is scanned more than once, so pass a materialised frame.
+    NULLs sort last. ``df`` is scanned for each ordering and once more, so pass a materialised
+    frame. Rows meet their value's rank in an equi-join, whose large partitions Spark splits.
     """
     by = by or []
-    if df.count() <= small_rows:
-        w = Window.partitionBy(*by).orderBy(*_sort(order))
-        if kind == "average":
-            same = Window.partitionBy(*by, *[c for c, _ in order])
-            ties = F.count(F.lit(1)).over(same)
-            return df.withColumn(out, F.rank().over(w) + (ties - 1) / 2)
-        return df.withColumn(out, (F.rank() if kind == "rank" else F.dense_rank()).over(w))
-    ranks = value_ranks(df, order, by)
-    number = {
-        "rank": F.col("rank").cast("int"),
-        "dense_rank": F.col("dense_rank").cast("int"),
-        "average": F.col("rank") + (F.col("copies") - 1) / 2,
-    }[kind]
-    names = [*by, *[c for c, _ in order]]
-    table = ranks.select(*[F.col(c).alias(f"_k_{c}") for c in names], number.alias(out))
-    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in names]
-    return df.join(table, on).select(*df.columns, out)
+    out = df
+    for i, (name, (order, kind)) in enumerate(wanted.items()):
+        ranks = value_ranks(df, order, by)
+        number = {
+            "rank": F.col("rank").cast("int"),
+            "dense_rank": F.col("dense_rank").cast("int"),
+            "average": F.col("rank") + (F.col("copies") - 1) / 2,
+        }[kind]
+        names = [*by, *[c for c, _ in order]]
+        table = ranks.select(*[F.col(c).alias(f"_k{i}_{c}") for c in names], number.alias(name))
+        on = [F.col(c).eqNullSafe(F.col(f"_k{i}_{c}")) for c in names]
+        out = out.join(table, on).drop(*[f"_k{i}_{c}" for c in names])
+    return out.select(*df.columns, *wanted)
+
+
+def with_rank(
+    df: DataFrame, out: str, order: Order, kind: str = "rank", by: list[str] | None = None
+) -> DataFrame:
+    """``with_ranks`` for a single column."""
+    return with_ranks(df, {out: (order, kind)}, by)
 
 
 def top_ranked(
@@ -113,27 +113,23 @@ def top_rows(df: DataFrame, order: Order, n: int) -> DataFrame:
     return df.orderBy(*_sort(order)).limit(n)
 
 
-def quantile(df: DataFrame, column: str, q: float, small_rows: int = SMALL_ROWS) -> Column:
-    """Exact linearly interpolated quantile as a scalar.
+def quantile(df: DataFrame, column: str, q: float) -> Column:
+    """Exact linearly interpolated quantile as a scalar: NULL if no value is known.
 
-    ``percentile`` keeps every distinct value in one buffer, so past ``small_rows`` the two order
-    statistics around the position are looked up by rank instead.
+    The two order statistics around the position are looked up by rank, so no task holds all
+    values. ``df`` is scanned twice, so pass a materialised frame.
     """
     known = df.where(F.col(column).isNotNull()).select(column)
-    n = known.count()
-    if n <= small_rows:
-        return scalars(known, q=F.percentile(column, F.lit(q)))["q"]
-    at = q * (n - 1)
-    low = int(at)
-    high = min(low + 1, n - 1)
+    at = q * (scalars(known, n=F.count(F.lit(1)))["n"] - 1)
+    low = F.floor(at)
     ranks = value_ranks(known, [(column, "asc")])
 
-    def holds(i: int) -> Column:
+    def holds(i: Column) -> Column:
         return (F.col("rank") <= i + 1) & (F.col("rank") + F.col("copies") > i + 1)
 
     pair = scalars(
-        ranks.where(holds(low) | holds(high)),
-        lo=F.max(F.when(holds(low), F.col(column))),
-        hi=F.max(F.when(holds(high), F.col(column))),
+        ranks.select(column, holds(low).alias("is_low"), holds(F.ceil(at)).alias("is_high")),
+        lo=F.max(F.when(F.col("is_low"), F.col(column))),
+        hi=F.max(F.when(F.col("is_high"), F.col(column))),
     )
-    return pair["lo"] + (pair["hi"] - pair["lo"]) * F.lit(at - low)
+    return pair["lo"] + (pair["hi"] - pair["lo"]) * (at - low)

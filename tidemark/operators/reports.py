@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions import exprs as E
 from tidemark.functions.scalars import scalars
 from tidemark.operators.panel import by_date, lagged, latest_row
-from tidemark.operators.ranks import top_ranked, top_rows, with_rank
+from tidemark.operators.ranks import top_ranked, top_rows, with_ranks
 from tidemark.operators.views import percent
 from tidemark.sources.shared import materialise
 from tidemark.spec import EPIDEMIC, FOCUS_ENTITY, GROWTH_ENTITIES, PanelSpec
@@ -70,10 +70,10 @@ def entity_ranks(
     ]
     current = latest_row(fact, spec, columns).where(F.col("total_cases_per_million").isNotNull())
     rows = materialise(current.join(dim.select(spec.entity, spec.label, spec.group), spec.entity))
-    rows = with_rank(rows, "rank_cases_per_million", [("total_cases_per_million", "desc")])
-    rows = with_rank(
-        rows, "dense_rank_vaccination", [("vaccination_rate", "desc")], "dense_rank"
-    )
+    rows = with_ranks(rows, {
+        "rank_cases_per_million": ([("total_cases_per_million", "desc")], "rank"),
+        "dense_rank_vaccination": ([("vaccination_rate", "desc")], "dense_rank"),
+    })
     first = top_rows(rows, [("rank_cases_per_million", "asc"), (spec.entity, "asc")], limit)
     return first.select(
         "location", "continent", "total_cases_per_million", "total_deaths_per_million",

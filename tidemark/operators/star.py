@@ -69,10 +69,11 @@ def dim_date(panel: DataFrame, spec: PanelSpec = EPIDEMIC) -> DataFrame:
     return calendar(F.col("_first"), F.col("_last"), bounds.where(F.col("_first").isNotNull()))
 
 
-def bi_calendar(panel: DataFrame, first: str, last: str) -> DataFrame:
-    """BI calendar with fixed bounds: Sunday-start weeks and Sunday as day 1."""
-    one = panel.sparkSession.range(1)
-    base = calendar(F.to_date(F.lit(first)), F.to_date(F.lit(last)), one)
+def bi_calendar(days: DataFrame, day: str = "date_key") -> DataFrame:
+    """BI calendar of all whole years that ``days`` touches: Sunday-start weeks, Sunday as day 1."""
+    bounds = days.agg(F.min(day).alias("_a"), F.max(day).alias("_b")).where("_a is not null")
+    last = F.date_sub(F.add_months(F.trunc("_b", "year"), 12), 1)
+    base = calendar(F.trunc("_a", "year"), last, bounds)
     new_year = F.trunc("date_key", "year")
     return base.select(
         "date_key", "year", "quarter", "month",

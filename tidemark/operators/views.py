@@ -119,8 +119,7 @@ def scaled_between(column: str, low, high):
 
 
 def high_risk(
-    fact: DataFrame, dim: DataFrame, min_pop: int = 1_000_000, spec: PanelSpec = EPIDEMIC,
-    small_rows: int | None = None,
+    fact: DataFrame, dim: DataFrame, min_pop: int = 1_000_000, spec: PanelSpec = EPIDEMIC
 ) -> DataFrame:
     """Min-max over every entity first, population filter next, rank last."""
     parts = ["total_cases_per_million", "mortality_rate_per_million", "vaccination_rate"]
@@ -136,8 +135,7 @@ def high_risk(
     scored = current.withColumn("score", (cases + deaths + (1 - cover)) / 3)
     big = dim.where(F.col("population") >= min_pop)
     joined = materialise(scored.join(big, spec.entity))
-    extra = {} if small_rows is None else {"small_rows": small_rows}
-    return with_rank(joined, "risk_rank", [("score", "desc")], **extra).select(
+    return with_rank(joined, "risk_rank", [("score", "desc")]).select(
         "risk_rank", "location", "continent", "population",
         E.rnd(F.col("total_cases_per_million"), 0).alias("cases_per_million"),
         E.rnd(F.col("mortality_rate_per_million"), 2).alias("deaths_per_million"),

@@ -17,9 +17,7 @@ from tidemark.plans.stages import Settings, run_stages, view_builders
 from tidemark.plans.warehouse import Warehouse, open_warehouse
 from tidemark.sources import io
 from tidemark.sources.shared import fresh_path, materialise
-from tidemark.spec import (
-    CUMULATIVE, DAILY, KEY_COLUMNS, NUMERIC, PanelSpec, panel_schema,
-)
+from tidemark.spec import CUMULATIVE, DAILY, KEY_COLUMNS, NUMERIC, panel_schema
 
 # Parameters suited to the derived panel; the operators' defaults suit the epidemic data.
 FOCUS, FOCUS_LABEL = "S0", "Supplier#000000000"
@@ -43,6 +41,13 @@ Query = Callable[[Warehouse], DataFrame]
 _queries: dict[str, Query] = {}
 
 
+# Queries that only pass values through: nothing is rounded.
+EXACT = frozenset({
+    "read_raw_panel", "read_typed", "entity_slice", "write_panel", "reload", "cast_numeric",
+    "table_or_file", "load_staging", "insert_new_rows",
+})
+
+
 def query(key: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         _queries[key] = build
@@ -50,20 +55,34 @@ def query(key: str) -> Callable[[Query], Query]:
     return register
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Doubles to six decimals, so that the order of summation does not show."""
+def relative(value: Column, digits: int = 7) -> Column:
+    """A double at so many significant digits, however small it is."""
+    return F.format_string(f"%.{digits - 1}e", value).cast("double")
+
+
+def stable(df: DataFrame, keep: tuple[str, ...] = ("p_value",)) -> DataFrame:
+    """Computed doubles to six decimals, so that the order of summation does not show.
+
+    Values too large for decimals, NaN and infinities stay as they are, and so do the columns in
+    ``keep``, which their queries settle by significant digits.
+    """
+    def settled(name: str) -> Column:
+        scaled = F.col(name) * 1e6 + 0.5
+        whole = F.when(F.abs(scaled) < 2.0**52, F.floor(scaled).cast("double")).otherwise(scaled)
+        return (whole / 1e6).alias(name)
+
     return df.select(*[
-        (F.floor(F.col(f.name) * 1e6 + 0.5) / 1e6).alias(f.name)
-        if f.dataType.typeName() == "double"
+        settled(f.name) if f.dataType.typeName() == "double" and f.name not in keep
         else F.col(f.name) for f in df.schema.fields
     ])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bound(build: Query) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: stable(build(open_warehouse(spark, folder)))
+    def bound(key: str, build: Query) -> Callable[[SparkSession, str], DataFrame]:
+        shown = (lambda df: df) if key in EXACT else stable
+        return lambda spark, folder: shown(build(open_warehouse(spark, folder)))
 
-    return {key: bound(build) for key, build in _queries.items()}
+    return {key: bound(key, build) for key, build in _queries.items()}
 
 
 # --- sources and sinks -------------------------------------------------------------------------
@@ -90,10 +109,17 @@ def _(w):
 
 @query("table_or_file")
 def _(w):
+    """Rows of either branch: a catalog table that exists, and files where none does."""
     spark = w.tables.spark
     path = io.write(w.fact, fresh_path(spark, "fact_files"))
-    loaded = io.load_panel(spark, "no_such_table", path, schema=w.fact.schema)
-    return Q.summary(loaded, PanelSpec(label="iso_code"))
+    w.fact.createOrReplaceTempView("fact_by_name")
+    both = None
+    for branch, table in (("table", "fact_by_name"), ("file", "no_such_table")):
+        loaded = io.load_panel(spark, table, path, schema=w.fact.schema).select(
+            F.lit(branch).alias("branch"), "iso_code", "date", "new_cases", "vaccination_rate"
+        )
+        both = loaded if both is None else both.unionByName(loaded)
+    return both
 
 
 @query("write_panel")
@@ -105,9 +131,13 @@ def _(w):
 
 @query("load_staging")
 def _(w):
-    spark = w.tables.spark
-    count = io.load_staging(w.fact, fresh_path(spark, "staging"))
-    return spark.range(1).select(F.lit(count).cast("bigint").alias("rows"))
+    """What the staging table holds, all of it text, with the counted rows."""
+    path = fresh_path(w.tables.spark, "staging")
+    count = io.load_staging(w.fact, path)
+    staged = w.tables.spark.read.parquet(path)
+    return staged.select(
+        "iso_code", "date", "total_cases", "new_deaths", F.lit(count).cast("bigint").alias("rows")
+    )
 
 
 @query("insert_new_rows")
@@ -149,15 +179,40 @@ def _(w):
     return _counts(spark, out, [n for n, s in status.items() if s == "ok"], "csv")
 
 
+_runs: dict[tuple[str, str], tuple[str, list[str]]] = {}
+
+
+def _run(w: Warehouse) -> tuple[str, list[str]]:
+    """Folder and tables of the whole job over a warehouse's raw panel, run once per application."""
+    spark = w.tables.spark
+    key = (spark.sparkContext.applicationId, w.tables.folder)
+    if key not in _runs:
+        out = fresh_path(spark, "run")
+        settings = Settings(focus=FOCUS, distance=DISTANCE, least=PROMINENCE, min_pop=MIN_POP)
+        outcome = run_stages(spark, _csv(w), out, settings)
+        if outcome.exit_code:
+            raise RuntimeError(str(outcome.status))
+        _runs[key] = (out, sorted(outcome.tables))
+    return _runs[key]
+
+
 @query("full_run")
 def _(w):
-    spark = w.tables.spark
-    out = fresh_path(spark, "run")
-    settings = Settings(focus=FOCUS, distance=DISTANCE, least=PROMINENCE, min_pop=MIN_POP)
-    outcome = run_stages(spark, _csv(w), out, settings)
-    if outcome.exit_code:
-        raise RuntimeError(str(outcome.status))
-    return _counts(spark, out, sorted(outcome.tables), "parquet")
+    out, names = _run(w)
+    return _counts(w.tables.spark, out, names, "parquet")
+
+
+@query("full_run_risk")
+def _(w):
+    return w.tables.spark.read.parquet(f"{_run(w)[0]}/risk")
+
+
+@query("full_run_waves")
+def _(w):
+    """The exported wave view of the job, read back with the view's own types."""
+    kinds = V.wave_summary(w.fact, w.entities, MIN_POP).schema
+    text = w.tables.spark.read.option("header", True).csv(f"{_run(w)[0]}/views/v_wave_summary")
+    return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds])
 
 
 # --- cleaning ----------------------------------------------------------------------------------
@@ -285,8 +340,7 @@ query("missing_by_month")(lambda w: Q.missing_by_month(w.panel))
 
 @query("bi_calendar")
 def _(w):
-    day = star.bi_calendar(w.dates, "1995-01-01", "2001-12-31")
-    return day.join(w.dates.select("date_key"), "date_key", "left_semi")
+    return star.bi_calendar(w.dates)
 
 
 # --- views -------------------------------------------------------------------------------------
@@ -347,7 +401,7 @@ query("correlation_matrix")(lambda w: S.correlation_matrix(w.summary))
 def _tested(method: str) -> Query:
     return lambda w: S.correlation_test(
         w.summary, "vaccination_rate", "case_fatality_rate", method
-    )
+    ).withColumn("p_value", relative(F.col("p_value")))
 
 
 query("pearson_test")(_tested("pearson"))
@@ -400,6 +454,9 @@ query("scatter_coverage_cfr_group")(lambda w: G.coverage_vs_cfr(w.summary, FOCUS
 query("scatter_coverage_cfr_trimmed")(
     lambda w: G.coverage_vs_cfr_trimmed(w.summary, FOCUS_LABEL)
 )
+query("scatter_trend")(lambda w: G.coverage_trend(w.summary))
+query("scatter_trend_group")(lambda w: G.coverage_trend(w.summary, GROUP))
+query("scatter_trend_trimmed")(lambda w: G.coverage_trend_trimmed(w.summary))
 query("kpi_cards")(lambda w: G.kpi_cards(w.panel, WINDOW))
 query("global_daily_rolling")(lambda w: G.global_daily(w.panel))
 query("global_totals")(lambda w: G.global_totals(w.panel))

@@ -35,11 +35,6 @@ class Tables:
             F.to_date("l_shipdate").alias("date"),
         )
 
-    def span(self) -> tuple[dt.date, dt.date]:
-        """First and last shipping date: two values, used as constants of the calendar."""
-        row = self.lines().agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
-        return row["a"], row["b"]
-
     def suppliers(self) -> DataFrame:
         nation, region = self.read("nation"), self.read("region")
         place = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
@@ -65,14 +60,22 @@ def _flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def _shipments(lines: DataFrame) -> DataFrame:
+def shipments(tables: Tables) -> DataFrame:
+    """(supplier, date) sums of the shipped lines; land it, since three steps read it."""
     returned, still_open = F.col("flag") == "R", F.col("status") == "O"
-    return lines.select("supplier", "date", *_zeros(
+    rows = tables.lines().select("supplier", "date", *_zeros(
         new_cases=F.lit(1), new_deaths=_flag(returned), new_tests=F.col("units"),
         new_vaccinations=_flag(F.col("units") >= LARGE), boosters=_flag(F.col("units") >= LARGER),
         open_lines=_flag(still_open), open_returns=_flag(still_open & returned),
         accepted=_flag(F.col("flag") == "A"),
     ))
+    return rows.groupBy("supplier", "date").agg(*[F.sum(c).alias(c) for c in DAILY_SUMS])
+
+
+def span(shipped: DataFrame) -> tuple[dt.date, dt.date]:
+    """First and last shipping date: two values, used as constants of the calendar."""
+    row = shipped.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
+    return row["a"], row["b"]
 
 
 def _reach(lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -97,28 +100,30 @@ def _reach(lines: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def daily_sums(tables: Tables, first: dt.date, last: dt.date) -> DataFrame:
+def daily_sums(
+    tables: Tables, shipped: DataFrame, first: dt.date, last: dt.date
+) -> DataFrame:
     """Dense (supplier, date) sums.
 
     Shipments, first contacts and an empty row for every calendar day are stacked and summed in one
     aggregation: map tasks combine before the shuffle, and no join is needed to fill the gaps.
     """
-    lines = tables.lines()
     every_day = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("date")
     blank = tables.read("supplier").select(
         F.col("s_suppkey").alias("supplier"), every_day
     ).select("supplier", "date", *_zeros())
-    stacked = blank.unionByName(_shipments(lines)).unionByName(
-        _reach(lines, tables.read("orders"))
+    stacked = blank.unionByName(shipped).unionByName(
+        _reach(tables.lines(), tables.read("orders"))
     )
     return stacked.groupBy("supplier", "date").agg(*[F.sum(c).alias(c) for c in DAILY_SUMS])
 
 
 def raw_panel(
-    tables: Tables, first: dt.date, last: dt.date, partitions: int | None = None
+    tables: Tables, shipped: DataFrame, first: dt.date, last: dt.date,
+    partitions: int | None = None,
 ) -> DataFrame:
     """The raw panel in its source columns; all windows share one shuffle on the supplier."""
-    daily = daily_sums(tables, first, last)
+    daily = daily_sums(tables, shipped, first, last)
     if partitions:
         daily = daily.repartition(partitions, "supplier")
     whole = Window.partitionBy("supplier")
@@ -192,16 +197,14 @@ def raw_panel(
         (E.ratio(F.col("open_lines"), F.col("new_cases")) * 100).alias("stringency_index"),
         E.ratio(shown("new_cases"), F.col("week_ago")).alias("reproduction_rate"),
     )
-    return panel.unionByName(_regions(tables), allowMissingColumns=True).select(*RAW_COLUMNS)
+    return panel.unionByName(_regions(tables, shipped), allowMissingColumns=True).select(*RAW_COLUMNS)
 
 
-def _regions(tables: Tables) -> DataFrame:
+def _regions(tables: Tables, shipped: DataFrame) -> DataFrame:
     """Aggregate entities: shipments and returns per region and day."""
-    daily = tables.lines().groupBy("supplier", "date").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_flag(F.col("flag") == "R")).alias("r")
-    )
+    daily = shipped.select("supplier", "date", "new_cases", "new_deaths")
     return daily.join(tables.suppliers(), "supplier").groupBy("continent", "date").agg(
-        F.sum("n").alias("new_cases"), F.sum("r").alias("new_deaths")
+        F.sum("new_cases").alias("new_cases"), F.sum("new_deaths").alias("new_deaths")
     ).select(
         F.concat(F.lit(AGGREGATE_PREFIX), "continent").alias("iso_code"),
         F.col("continent").alias("location"), "date", "new_cases", "new_deaths",

@@ -36,6 +36,14 @@ def ratio(num: str, den: str) -> str:
     return f"({dbl(num)} / NULLIF({dbl(den)}, 0))"
 
 
+def plain(columns) -> str:
+    """Select list of preset columns, doubles as they are."""
+    return ", ".join(
+        f"CAST({c} AS DOUBLE) AS {c}" if column_type(c).simpleString() == "double" else c
+        for c in columns
+    )
+
+
 def shown(columns, double=frozenset()) -> str:
     """Select list of preset columns with doubles at six decimals."""
     return ", ".join(
@@ -319,15 +327,17 @@ _vax2 = rnd("vaccination_rate", 2) + " AS vaccination_rate_pct"
 
 
 # --- sources and sinks
-Q["read_typed"] = f"SELECT {shown(PANEL_COLUMNS)} FROM panel"
+Q["read_typed"] = f"SELECT {plain(PANEL_COLUMNS)} FROM panel"
 Q["write_panel"] = Q["read_typed"]
-Q["entity_slice"] = f"SELECT {shown(PANEL_COLUMNS)} FROM panel WHERE location = '{K.FOCUS_LABEL}'"
+Q["entity_slice"] = f"SELECT {plain(PANEL_COLUMNS)} FROM panel WHERE location = '{K.FOCUS_LABEL}'"
 Q["table_or_file"] = """
-SELECT count(*) AS rows, count(DISTINCT iso_code) AS entities, min(date) AS first_date,
-       max(date) AS last_date FROM daily"""
-Q["load_staging"] = "SELECT count(*) AS rows FROM daily"
+SELECT branch, iso_code, date, new_cases, CAST(vaccination_rate AS DOUBLE) AS vaccination_rate
+FROM daily CROSS JOIN (VALUES ('table'), ('file')) AS b(branch)"""
+Q["load_staging"] = """
+SELECT iso_code, CAST(date AS VARCHAR) AS date, CAST(total_cases AS VARCHAR) AS total_cases,
+       CAST(new_deaths AS VARCHAR) AS new_deaths, (SELECT count(*) FROM daily) AS rows FROM daily"""
 Q["insert_new_rows"] = "SELECT iso_code, date, new_cases FROM daily"
-Q["reload"] = f"SELECT {shown(DIM_COLUMNS)} FROM dim"
+Q["reload"] = f"SELECT {plain(DIM_COLUMNS)} FROM dim"
 
 def _named_counts(selects: dict[str, str]) -> str:
     return " UNION ALL ".join(
@@ -342,7 +352,7 @@ Q["parse_dates"] = (
 )
 Q["sort_panel"] = "SELECT location, date, new_cases FROM panel"
 Q["cast_numeric"] = "SELECT iso_code, continent, location, CAST(date AS VARCHAR) AS date, " + (
-    ", ".join(d6(dbl(c), c) for c in NUMERIC)
+    ", ".join(f"{dbl(c)} AS {c}" for c in NUMERIC)
 ) + " FROM raw"
 Q["ffill_cumulative"] = f"SELECT location, date, {', '.join(CUMULATIVE)} FROM filled"
 Q["zero_fill_daily"] = "SELECT iso_code, date, " + ", ".join(
@@ -370,7 +380,7 @@ Q["clip_floor"] = (
     "SELECT iso_code, date, "
     + d6("greatest(new_cases - rolling_7day_cases, 0)", "above_average") + " FROM panel"
 )
-Q["clean_panel"] = Q["read_typed"]
+Q["clean_panel"] = f"SELECT {shown(PANEL_COLUMNS)} FROM panel"
 _fatal = ratio("total_deaths", "total_cases")
 Q["recovery_rate"] = f"""
 SELECT iso_code, date, {d6(f'(1 - {_fatal}) * 100', 'recovery')},
@@ -396,7 +406,7 @@ SELECT iso_code, {d6(_log.format('CAST(population * 1000 AS DOUBLE)'), 'log')},
        {d6(_lin, 'linear')} FROM dim"""
 
 # --- star schema and quality
-Q["dim_entity"] = Q["reload"]
+Q["dim_entity"] = f"SELECT {shown(DIM_COLUMNS)} FROM dim"
 Q["dim_entity_last_known"] = "SELECT iso_code, " + ", ".join(
     d6(f"max({c})", c) if column_type(c).simpleString() == "double" else f"max({c}) AS {c}"
     for c in DIM_COLUMNS if c != "iso_code"
@@ -434,7 +444,9 @@ UNION ALL SELECT 'date_year_missing', count(*) FROM dates WHERE year IS NULL
 UNION ALL SELECT 'entity_label_missing', count(*) FROM dim WHERE location IS NULL
 UNION ALL SELECT 'fact_entity_missing', count(*) FROM daily WHERE iso_code IS NULL
 UNION ALL SELECT 'fact_date_missing', count(*) FROM daily WHERE date IS NULL"""
-Q["dataset_summary"] = Q["table_or_file"].replace("daily", "panel")
+Q["dataset_summary"] = """
+SELECT count(*) AS rows, count(DISTINCT iso_code) AS entities, min(date) AS first_date,
+       max(date) AS last_date FROM panel"""
 _share = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, avg(CAST({c} IS NULL AS INTEGER)) * 100 AS missing_pct FROM panel"
     for c in PANEL_COLUMNS
@@ -460,9 +472,9 @@ SELECT date AS date_key, CAST(year(date) AS INTEGER) AS year,
        CAST(1 + count(*) FILTER (WHERE dayofweek(date) = 0 AND dayofyear(date) > 1)
          OVER (PARTITION BY year(date) ORDER BY date) AS INTEGER) AS week_num,
        CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week, strftime(date, '%Y-%m') AS year_month
-FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))
-      AS DATE) AS date)
-QUALIFY date BETWEEN (SELECT min(date) FROM days) AND (SELECT max(date) FROM days)"""
+FROM (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date
+      FROM (SELECT date_trunc('year', min(date)) AS a,
+              date_trunc('year', max(date)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS b FROM days))"""
 
 # --- views
 Q["v_global_daily_trend"] = f"""
@@ -741,7 +753,7 @@ FROM (
       ELSE sin(any_value(a.theta)) * sum(term) END AS p
   FROM angles a JOIN terms USING (method) WHERE method = '{m}' GROUP BY method, n, r)"""
 for _m in ("pearson", "spearman"):
-    Q[f"{_m}_test"] = Q_TEST.format(r=d6("r"), p=d6("p", "p_value"), m=_m)
+    Q[f"{_m}_test"] = Q_TEST.format(r=d6("r"), p="CAST(printf('%.6e', p) AS DOUBLE) AS p_value", m=_m)
 
 
 def _zero_scaled(c: str, source: str) -> str:
@@ -857,6 +869,34 @@ SELECT location, continent, {d6('vaccination_rate')}, {d6('cfr_pct')},
        {d6(_log.format('CAST(population AS DOUBLE)'), 'weight')},
        location = '{K.FOCUS_LABEL}' AS is_focus
 FROM trimmed"""
+
+
+def _line(rows: str, points: int, more: str = "") -> str:
+    at = f"lo + (hi - lo) * point / {points - 1}"
+    return f"""
+SELECT CAST(point AS INTEGER) AS point, {d6(at, 'x')},
+       {d6(f'slope * ({at}) + intercept', 'fitted')}, {d6('slope')}, {d6('intercept')}{more}
+FROM (SELECT regr_slope(cfr_pct, vaccination_rate) AS slope,
+        regr_intercept(cfr_pct, vaccination_rate) AS intercept, min(vaccination_rate) AS lo,
+        max(vaccination_rate) AS hi,
+        CASE WHEN count(*) >= 10 THEN corr(cfr_pct, vaccination_rate) END AS r,
+        CASE WHEN count(*) >= 10 THEN corr(rx, ry) END AS rs, unnest(generate_series(0, {points - 1})) AS point
+      FROM (SELECT cfr_pct, vaccination_rate,
+              rank() OVER (ORDER BY cfr_pct) + (count(*) OVER (PARTITION BY cfr_pct) - 1) / 2.0
+                AS rx,
+              rank() OVER (ORDER BY vaccination_rate)
+                + (count(*) OVER (PARTITION BY vaccination_rate) - 1) / 2.0 AS ry
+            FROM ({rows})) HAVING count(*) > 5)"""
+
+
+_scattered = """SELECT * FROM (SELECT *, CASE WHEN (SELECT max(case_fatality_rate) FROM summary) <= 1
+    THEN case_fatality_rate * 100 ELSE case_fatality_rate END AS cfr_pct FROM summary)
+  WHERE vaccination_rate > 0 AND cfr_pct IS NOT NULL"""
+Q["scatter_trend"] = _line(_scattered, 100)
+Q["scatter_trend_group"] = _line(f"{_scattered} AND continent = '{K.GROUP}'", 100)
+Q["scatter_trend_trimmed"] = _line(
+    "SELECT * FROM trimmed", 200, f", {d6('r', 'pearson_r')}, {d6('rs', 'spearman_r')}"
+)
 Q["kpi_cards"] = f"""
 SELECT {big('sum(c)', 'total_cases')}, {big('sum(d)', 'total_deaths')},
        {d6(ratio('sum(v * p)', 'sum(p)'), 'vaccination_pct')},
@@ -1022,6 +1062,7 @@ _EXPORTED = (
     "v_monthly_by_group", "v_coverage_progress", "v_high_risk", "v_wave_summary",
 )
 Q["export_views"] = _named_counts({name: Q[name] for name in _EXPORTED})
+Q["full_run_risk"], Q["full_run_waves"] = Q["risk_scores"], Q["v_wave_summary"]
 Q["full_run"] = _named_counts({
     "panel": "SELECT 1 FROM panel", "staging": "SELECT 1 FROM panel",
     "waves": "SELECT 1 FROM panel", "fact": "SELECT 1 FROM panel",

@@ -64,7 +64,7 @@ def run_stages(
     """Run the chosen stages; a failed cleaning stops the run, later failures do not.
 
     Stages hand over through tables in ``out``, so a lost executor or a rerun of one stage never
-    repeats the ones before it.
+    repeats the ones before it. The star stage needs the waves of the panel that lies there.
     """
     s = settings or Settings()
     result = Outcome()
@@ -99,12 +99,16 @@ def run_stages(
         save("risk", risk_scores(summary, s.spec))
 
     def star_stage() -> None:
-        labelled = table("waves" if "waves" in result.tables else "panel")
+        # Waves may come from an earlier call, but not from before this call's panel.
+        if "panel" in result.tables and "waves" not in result.tables:
+            raise RuntimeError("the panel is new: run the analyse stage before the star stage")
+        labelled = table("waves")
         load_staging(labelled, path["staging"])
         result.tables["staging"] = path["staging"]
         staged = table("staging")
         save("dim_entity", dim_entity(staged, s.spec))
         save("dim_date", dim_date(staged, s.spec))
+        # Cleaning left one row per (label, date); labels of one entity may still differ.
         save("fact", fact_daily(staged, s.spec))
 
     def validate_stage() -> None:

@@ -17,13 +17,15 @@ from tidemark.operators.clean import clean
 from tidemark.operators.panel import latest_values
 from tidemark.operators.star import dim_date, dim_entity, fact_daily
 from tidemark.operators.waves import detect_peaks, label_waves
-from tidemark.plans.derived import Tables, raw_panel
+from tidemark.plans.derived import Tables, raw_panel, shipments, span
 from tidemark.sources.shared import fresh_path
 from tidemark.spec import EPIDEMIC, PanelSpec
 
 ROWS_PER_BUCKET = 1_000_000
+EVEN_BUCKETS = 2_000  # up to here a bucket holds ROWS_PER_BUCKET, beyond it buckets grow as well
+MOST_BUCKETS = 50_000  # half of what Spark allows by default
 
-_built: dict[tuple[str, str], "Warehouse"] = {}
+_built: dict[tuple[str, str, int, float], "Warehouse"] = {}
 _lock = threading.Lock()
 
 
@@ -40,7 +42,11 @@ class Warehouse:
 
 
 def bucket_count(spark: SparkSession, rows: int) -> int:
-    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_BUCKET))
+    """Buckets for a table of so many rows: in proportion, then as the root, never too many."""
+    wanted = math.ceil(rows / ROWS_PER_BUCKET)
+    if wanted > EVEN_BUCKETS:
+        wanted = min(MOST_BUCKETS, math.ceil(math.sqrt(wanted * EVEN_BUCKETS)))
+    return max(min(spark.sparkContext.defaultParallelism, MOST_BUCKETS), wanted)
 
 
 def save_bucketed(
@@ -59,27 +65,33 @@ def save_bucketed(
     return spark.table(table)
 
 
+def save_plain(df: DataFrame, name: str) -> DataFrame:
+    """Tables of one row per entity or less: plain files, sized by Spark."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def build(
     spark: SparkSession, folder: str, distance: int, least: float, spec: PanelSpec = EPIDEMIC
 ) -> Warehouse:
     tables = Tables(spark, folder)
-    first, last = tables.span()
+    shipped = save_plain(shipments(tables), "shipments")
+    first, last = span(shipped)
     days = (last - first).days + 1
     buckets = bucket_count(spark, tables.read("supplier").count() * days)
     # The derived raw panel groups by (supplier, date), so its keys are unique already.
     # The raw panel lands as a table, so nothing downstream derives it again.
-    raw = save_bucketed(raw_panel(tables, first, last, buckets), "raw", buckets, spec)
+    raw = save_bucketed(raw_panel(tables, shipped, first, last, buckets), "raw", buckets, spec)
     panel = clean(raw, spec, unique=True, partitions=buckets)
     panel = save_bucketed(panel, "panel", buckets, spec)
     peaks = detect_peaks(panel, distance=distance, least=least, spec=spec)
-    peaks = save_bucketed(peaks, "peaks", buckets, spec)
+    peaks = save_plain(peaks, "peaks")
     labelled = label_waves(panel, peaks, spec)
     fact = save_bucketed(fact_daily(labelled, spec, unique=True), "fact", buckets, spec)
-    entities = save_bucketed(dim_entity(panel, spec), "entities", buckets, spec)
-    summary = save_bucketed(latest_values(panel, spec), "summary", buckets, spec)
-    path = fresh_path(spark, "dates")
-    dim_date(panel, spec).coalesce(1).write.parquet(path)  # one row per calendar day
-    dates = spark.read.parquet(path)
+    entities = save_plain(dim_entity(panel, spec), "entities")
+    summary = save_plain(latest_values(panel, spec), "summary")
+    dates = save_plain(dim_date(panel, spec).coalesce(1), "dates")  # one row per calendar day
     return Warehouse(tables, raw, panel, fact, entities, dates, peaks, summary)
 
 
@@ -87,7 +99,8 @@ def open_warehouse(
     spark: SparkSession, folder: str, distance: int = 30, least: float = 0.8
 ) -> Warehouse:
     """The warehouse of a folder, built on first use and kept for this application only."""
-    key = (spark.sparkContext.applicationId, hashlib.sha256(folder.encode()).hexdigest())
+    named = hashlib.sha256(folder.encode()).hexdigest()
+    key = (spark.sparkContext.applicationId, named, distance, least)
     with _lock:
         if key not in _built:
             _built[key] = build(spark, folder, distance, least)
