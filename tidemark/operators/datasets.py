@@ -158,6 +158,13 @@ def coverage_vs_cfr(
     return rows.select(*columns, F.lit(False).alias("is_focus")).unionByName(star)
 
 
+def with_fatality(summary: DataFrame) -> DataFrame:
+    """Adds the fatality rate from the totals where the column is absent."""
+    if "case_fatality_rate" in summary.columns:
+        return summary
+    return summary.withColumn("case_fatality_rate", E.case_fatality_rate())
+
+
 def coverage_trend(
     summary: DataFrame, group: str | None = None, points: int = 100, least: int = 6,
     spec: PanelSpec = EPIDEMIC,
@@ -174,6 +181,7 @@ def coverage_trend_trimmed(
     summary: DataFrame, q: float = 0.98, points: int = 200, least: int = 6
 ) -> DataFrame:
     """Line through the trimmed points, with both correlation tests on the same rows."""
+    summary = with_fatality(summary)
     guess = E.percent_if_fraction(F.col("case_fatality_rate"))
     rows = quantile_trim(summary.withColumn("cfr_pct", guess), "vaccination_rate", "cfr_pct", q)
     rows = materialise(rows.select("vaccination_rate", "cfr_pct"))
@@ -190,6 +198,7 @@ def coverage_vs_cfr_trimmed(
     summary: DataFrame, focus: str, q: float = 0.98, spec: PanelSpec = EPIDEMIC
 ) -> DataFrame:
     """Variant without the top of the fatality range and with log marker weights."""
+    summary = with_fatality(summary)
     guess = E.percent_if_fraction(F.col("case_fatality_rate"))
     valid = quantile_trim(summary.withColumn("cfr_pct", guess), "vaccination_rate", "cfr_pct", q)
     named = F.coalesce(F.contains(F.lower(spec.label), F.lower(F.lit(focus))), F.lit(False))
@@ -205,11 +214,22 @@ def kpi_cards(
 ) -> DataFrame:
     """Totals of per-entity maxima, population-weighted coverage, fatality percent.
 
-    An entity whose coverage is unknown still counts in the weights' total.
+    An entity whose coverage is unknown still counts in the weights' total. A panel without a
+    running total has its daily values summed instead; other columns that it lacks are unknown.
     """
+    def most(column: str) -> Column:
+        known = column in panel.columns
+        return F.max(column) if known else F.max(F.lit(None).cast("double"))
+
+    def total(column: str, daily: str) -> Column:
+        if column not in panel.columns and daily in panel.columns:
+            return F.sum(daily)
+        return most(column)
+
     per = in_window(panel, window, spec).groupBy(spec.entity).agg(
-        F.max("total_cases").alias("c"), F.max("total_deaths").alias("d"),
-        F.max("vaccination_rate").alias("v"), F.max("population").alias("p"),
+        total("total_cases", "new_cases").alias("c"),
+        total("total_deaths", "new_deaths").alias("d"),
+        most("vaccination_rate").alias("v"), most("population").alias("p"),
     )
     cases, deaths, people = F.sum("c"), F.sum("d"), F.sum("p")
     weighted = E.ratio(F.sum(F.col("v") * F.col("p")), people)

@@ -35,6 +35,7 @@ DISTANCE, PROMINENCE = 30, 0.8
 WINDOW = (25, 75)
 WANTED_DATES = ("1996-02-29", "1997-07-15", "1999-12-31")
 PEAK_WINDOWS = (("First", "1996-01-01", "1997-12-31"), ("Second", "1999-01-01", "2000-06-30"))
+WAVE_BANDS = ((1, "1996-01-01", "1997-06-30"), (2, "1997-07-01", "1999-12-31"))
 GROUP = "ASIA"
 
 Query = Callable[[Warehouse], DataFrame]
@@ -443,6 +444,17 @@ query("trend_all")(lambda w: G.trend(w.panel))
 query("percent_window")(lambda w: G.percent_window_dates(w.panel, *WINDOW))
 query("metric_series")(lambda w: G.metric_series(w.panel, FOCUS_LABEL, "new_cases"))
 query("wave_extent")(lambda w: G.wave_extent(w.fact.where(F.col("iso_code") == FOCUS)))
+@query("wave_extent_unlabelled")
+def _(w):
+    """The fixed windows that a series without labels gets, with the focus's cases in each."""
+    series = w.fact.where(F.col("iso_code") == FOCUS).select("date", "new_cases")
+    bands = G.wave_extent(series, WAVE_BANDS)
+    inside = F.col("date").between(F.col("start_date"), F.col("end_date"))
+    return bands.join(series, inside, "left").groupBy("wave_number", "start_date", "end_date").agg(
+        F.sum("new_cases").alias("cases")
+    )
+
+
 query("peak_in_window")(
     lambda w: G.peak_in_window(
         w.fact.where(F.col("iso_code") == FOCUS), "new_cases", PEAK_WINDOWS

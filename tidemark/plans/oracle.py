@@ -838,6 +838,12 @@ WHERE location = '{K.FOCUS_LABEL}'"""
 Q["wave_extent"] = f"""
 SELECT wave_number, min(date) AS start_date, max(date) AS end_date FROM fact
 WHERE iso_code = '{K.FOCUS}' GROUP BY wave_number"""
+Q["wave_extent_unlabelled"] = " UNION ALL ".join(
+    f"""SELECT {n} AS wave_number, DATE '{a}' AS start_date, DATE '{b}' AS end_date,
+  CAST(sum(new_cases) AS BIGINT) AS cases FROM daily
+  WHERE iso_code = '{K.FOCUS}' AND date BETWEEN DATE '{a}' AND DATE '{b}'"""
+    for n, a, b in K.WAVE_BANDS
+)
 Q["peak_in_window"] = " UNION ALL ".join(
     f"""(SELECT '{name}' AS window_name, date AS peak_date, new_cases AS peak_value FROM daily
   WHERE iso_code = '{K.FOCUS}' AND date BETWEEN DATE '{a}' AND DATE '{b}'
