@@ -10,6 +10,7 @@ import __spark_entry__ as contract
 from check import cells
 from tidemark.operators import reports, views
 from tidemark.operators.panel import latest_row
+from tidemark.plans import catalog, oracle
 from tidemark.plans.warehouse import open_warehouse
 
 FOLDER = "/root/testdata/sf0.001"
@@ -21,6 +22,8 @@ SAMPLE = (
     "v_wave_summary", "entity_ranks", "milestones", "top3_per_group", "detect_peaks",
     "label_waves", "correlation_matrix", "pearson_test", "risk_scores", "kpi_cards",
     "nearest_date", "growth_heatmap", "calendar_7d_avg_by_entity", "global_wave_bands",
+    "scatter_trend", "scatter_trend_trimmed", "wave_extent_unlabelled", "bi_calendar", "read_typed",
+    "load_staging",
 )
 
 
@@ -33,7 +36,8 @@ def db():
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(oracle.oracle_sql()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_returns_the_groups(spark):
