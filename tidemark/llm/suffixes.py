@@ -40,7 +40,7 @@ from tidemark.sources.shared import fresh_path
 
 LENGTH = 200
 MODULUS = 73
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 BLOCK_ROWS = 1 << 16
 BUCKET_BYTES = 8_000_000  # of text for each bucket of hashes
 MOST_TABLE_BUCKETS = 20_000
@@ -128,8 +128,9 @@ class Block:
         skip[later] = True
         self.live = np.repeat(~skip, self.sizes)
         number = np.arange(len(self.bytes)) - np.repeat(self.starts, self.sizes)
-        self.left = np.repeat(self.sizes, self.sizes) - number  # bytes from here to the end
-        self.number = number
+        number = self.number = number.astype(np.int32)
+        ends = np.repeat(self.sizes.astype(np.int32), self.sizes)
+        self.left = ends - number  # bytes from here to the end
         self.window = length - len(cover) + 1
         self.sampled = np.flatnonzero(
             cover[number % len(cover)] & (self.left >= self.window) & self.live
