@@ -23,8 +23,6 @@ QUERIES_PER_BLOCK = 2048
 VECTORS_PER_BLOCK = 2048
 BLOCKS_PER_COLUMN = 16
 
-Bytes = "binary"
-
 
 def usable(embeddings: DataFrame, by: str, vector: str, scale: float = 1.0) -> DataFrame:
     """Stored (tag, id, dim, vec): rows with an id whose components are all finite.
@@ -112,7 +110,6 @@ def meet(
 
     Query blocks carry their line in ``part``. Names of query columns get a ``q_``.
     """
-    line = F.pmod(F.col("part"), F.lit(lines))
     q = queries.toDF(*[f"q_{c}" for c in queries.columns]).withColumn(
         "q_line", F.pmod(F.col("q_part"), F.lit(lines))
     ).withColumn("q_column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))

@@ -34,11 +34,11 @@ EDGE = 1 << 60
 
 
 def _scores(q: np.ndarray, x: np.ndarray, exact: bool) -> np.ndarray:
+    """Inner products as long; ``exact`` tells that doubles hold every partial sum."""
     if exact:
         return (q @ x.T).astype(np.int64)
-    big = np.array(q, dtype=object) if q.size == 0 else np.vectorize(int, otypes=[object])(q)
-    other = np.vectorize(int, otypes=[object])(x)
-    return np.clip(big @ other.T, -EDGE, EDGE).astype(np.int64)
+    whole = np.vectorize(int, otypes=[object])
+    return np.clip(whole(q) @ whole(x).T, -EDGE, EDGE).astype(np.int64)
 
 
 def _tiles(row: dict, exact: bool):
@@ -141,15 +141,16 @@ def search(
             state.where("not done"), _histogram(exact), "id long, bin int, n long"
         ).groupBy("id", "bin").agg(F.sum("n").alias("n"))
         sums = counts.withColumn("over", F.sum("n").over(from_top))
-        state = state.join(sums.withColumnRenamed("id", "i"), F.col("id") == F.col("i"), "left")
-        width = F.expr(f"(hi - lo + {BINS - 1}) div {BINS}")  # as in _histogram
-        reached = F.col("above") + F.col("over") >= k
         # The first bin from above that reaches k; none if there are fewer candidates.
-        state = state.groupBy("id", "dim", "lo", "hi", "above", "done").agg(
-            F.first("vec").alias("vec"), F.max(F.when(reached, F.col("bin"))).alias("bin"),
-            F.min(F.when(reached, F.col("over"))).alias("over"),
-            F.min_by("n", F.when(reached, F.col("over"))).alias("n"),
+        known = state.select(F.col("id").alias("i"), F.col("above").alias("so_far"))
+        at = sums.join(known, F.col("id") == F.col("i")).where(
+            F.col("so_far") + F.col("over") >= k
+        ).groupBy("i").agg(
+            F.max("bin").alias("bin"), F.min("over").alias("over"),
+            F.min_by("n", "over").alias("n"),
         )
+        state = state.join(at, F.col("id") == F.col("i"), "left")
+        width = F.expr(f"(hi - lo + {BINS - 1}) div {BINS}")  # as in _histogram
         low = F.col("lo") + F.col("bin") * width
         narrow = ~F.col("done") & F.col("bin").isNotNull()
         found = F.col("above") + F.col("over")
