@@ -83,26 +83,39 @@ def index(rows: DataFrame, tables: int = TABLES, seed: int = 7) -> DataFrame:
     )
 
 
-def _nearest(k: int, tables: int, probes: int, seed: int):
+def with_probes(
+    packed: DataFrame, tables: int = TABLES, probes: int = PROBES, seed: int = 7
+) -> DataFrame:
+    """Query blocks and, per query and table, the buckets it probes, as packed 32-bit integers."""
+    def run(batches):
+        for batch in slices(batches, 1):
+            row = batch.to_pylist()[0]
+            q = grid.unpack(row["vec"], row["dim"])
+            best = []
+            for signs in _signs(row["dim"], tables, seed):
+                axes = rotated(q, signs)
+                n = min(probes, axes.shape[1])
+                best.append(np.argpartition(-axes, n - 1, axis=1)[:, :n])
+            asked = np.stack(best, axis=1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([asked.tobytes()], pa.binary())],
+                names=[*batch.schema.names, "probes"],
+            )
+
+    fields = ", ".join(f"{n} {t}" for n, t in packed.dtypes)
+    return packed.mapInArrow(run, f"{fields}, probes binary")
+
+
+def _nearest(k: int, tables: int):
     def run(batches):
-        key = None
         for row in grid.rows_of(batches):
             dim = row["dim"]
             q, x = grid.unpack(row["q_vec"], dim), grid.unpack(row["vec"], dim)
             ids, mine, tags = (
                 np.frombuffer(row[c], np.int64) for c in ("q_id", "id", "tag")
             )
-            if (dim, row["q_id"]) != key:
-                key = (dim, row["q_id"])
-                near = []  # per table: which query probes which bucket
-                for signs in _signs(dim, tables, seed):
-                    axes = rotated(q, signs)
-                    n = min(probes, axes.shape[1])
-                    best = np.argpartition(-axes, n - 1, axis=1)[:, :n]
-                    asks = np.zeros(axes.shape, bool)
-                    np.put_along_axis(asks, best, True, axis=1)
-                    near.append(asks)
-            asking = np.flatnonzero(near[row["tbl"]][:, row["bucket"]])
+            asked = np.frombuffer(row["q_probes"], np.int32).reshape(len(ids), tables, -1)
+            asking = np.flatnonzero((asked[:, row["tbl"]] == row["bucket"]).any(axis=1))
             for a in range(0, len(asking), TILE):
                 at = asking[a:a + TILE]
                 scores = q[at] @ x.T
@@ -148,8 +161,9 @@ def search(
     )
     dealt = queries.repartition(lines, "id").sortWithinPartitions("dim", "id")
     packed = grid.pack(dealt, ["dim"], ["id"], grid.QUERIES_PER_BLOCK)
+    packed = stored(with_probes(packed, tables, probes, seed), "probes")
     found = grid.meet(
-        packed, blocks, lines, columns, _nearest(k, tables, probes, seed),
+        packed, blocks, lines, columns, _nearest(k, tables),
         "query_id long, vec_id long, tag long, score double",
     )
     # A vector met in several tables has the same score each time.
