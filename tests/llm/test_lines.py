@@ -91,3 +91,16 @@ def test_offsets_rebuild_the_original_and_columns_stay(spark, documents):
 def test_units_stay_inside_the_text(text):
     for a, b, _ in lines.units(text, 1):
         assert 0 <= a < b <= len(text)
+
+
+def test_short_lines_and_scripts_without_blanks(documents):
+    long = "这是一个没有空格的很长的段落它在许多文件里重复出现"
+    rows = [
+        (1, f"first start of it\nAll rights reserved.\n{long}\nใช้ภาษาไทยที่ไม่มีช่องว่าง\nOnly one"),
+        (2, f"another start\nall  rights reserved.\nuse\n{long}\nx\nใช้ภาษาไทยที่ไม่มีช่องว่าง"),
+        (3, f"前文在此处不同。{long}。后面也不同的文字"), (4, f"别的开头文字！{long}。还有其他的结尾"),
+    ]
+    texts = {r["doc_id"]: r["text"] for r in lines.report(documents(rows)).collect()}
+    assert texts[1] == rows[0][1]
+    assert texts[2] == "another start\nuse\nx\n"
+    assert texts[3] == rows[2][1] and texts[4] == "别的开头文字！还有其他的结尾"

@@ -3,9 +3,11 @@
 A text is cut into units: its lines, and within them its sentences. Units are normalised (lower
 case, single blanks) and hashed to 128 bits. Of every digest the earliest occurrence stays, by
 document id, then text hash, then place; all later ones are removed from their texts, and what was
-removed is reported with its offsets in the original text. A sentence of fewer than ``least``
-words is hashed together with the sentences before it until the count is reached, so short
-sentences go only where their context repeats too; lines need ``least`` words.
+removed is reported with its offsets in the original text. A whole line is a unit whatever its
+length. A sentence of fewer than ``least`` words inside a line is hashed together with the
+sentences before it until the count is reached, so short sentences go only where their context
+repeats too. Every letter of a script written without blanks counts as a word, and the full stops
+of other scripts end sentences too.
 
 Each Arrow batch settles repeats of its own first: only a digest's first occurrence per batch goes
 to the global grouping, the others are spread by document. However frequent a unit is, no task
@@ -29,13 +31,25 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.arrow import free_name, named
 
 LEAST = 5
-_CUT = re.compile(r"[.!?]+[ \t]+|[.!?]*\r?\n\s*")
+_STOPS = "。！？｡．؟۔।॥።፧၊။។"
+_CUT = re.compile(rf"[.!?]+[ \t]+|[.!?{_STOPS}]*\r?\n\s*|[{_STOPS}]+[.!?{_STOPS}]*[ \t]*")
+# Thai to Myanmar, Khmer, kana and ideographs: scripts without blanks between words.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _SCHEMA = (
     "known boolean, route long, h1 long, h2 long, id long, hash long, start long, stop long"
 )
 _NAMES = [x.split()[0] for x in _SCHEMA.split(", ")]
 
 
+def _size(words: list[str]) -> int:
+    """Number of words, letters of scripts without blanks counted one by one."""
+    n = len(words)
+    for w in words:
+        if not w.isascii():
+            n += max(0, len(_UNSPACED.findall(w)) - 1)
+    return n
+
+
 def units(text: str, least: int = LEAST) -> Iterator[tuple[int, int, str]]:
     """(start, end, normalised text) of the lines and sentences that can be compared."""
     cuts = [0]
@@ -49,23 +63,25 @@ def units(text: str, least: int = LEAST) -> Iterator[tuple[int, int, str]]:
     if not line_ends or line_ends[-1] != len(cuts) - 1:
         line_ends.append(len(cuts) - 1)
     words = [text[a:b].lower().split() for a, b in zip(cuts, cuts[1:])]
+    sizes = list(map(_size, words))
+    alone = {b - 1 for a, b in zip([0, *line_ends], line_ends) if b - a == 1}
     for i, own in enumerate(words):
         if not own:
             continue
-        if len(own) >= least:
+        if sizes[i] >= least or i in alone:
             yield cuts[i], cuts[i + 1], " ".join(own)
             continue
-        first, n = i, len(own)
+        first, n = i, sizes[i]
         while first and n < least:
             first -= 1
-            n += len(words[first])
+            n += sizes[first]
         if n >= least:
             yield cuts[i], cuts[i + 1], " ".join(w for s in words[first:i + 1] for w in s)
     begin = 0
     for end in line_ends:
         if end - begin > 1:
             line = [w for s in words[begin:end] for w in s]
-            if len(line) >= least:
+            if line:
                 yield cuts[begin], cuts[end], " ".join(line)
         begin = end
 
