@@ -113,3 +113,19 @@ def test_redaction(spark, documents):
 def test_no_python_in_the_plan(documents):
     plan = pii.report(documents([(1, "a@b.c")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_spaced_identifiers_are_seeds_and_one_strong_pattern_is_enough(documents):
+    rows = [(i, f"call tel: +1 (017) 555-{7000 + i} now, card nr: 4111 1111 1111 1111") for i in range(120)]
+    rows += [(200, "call tel: 55577123 now"), (201, "see nr: 98765432 here")]
+    out = {r["doc_id"]: r["spans"] for r in pii.report(documents(rows)).collect()}
+    assert out[200] == "phone:10:18"
+    assert out[201] == ""  # one card, however often it is written
+
+
+def test_chains_are_followed_to_their_end(spark):
+    words = [f"a{i}@b.org" for i in range(9)] + [f"word{i}" for i in range(16)]
+    # Each pair of cues holds nine words of the pairs before and one of its own.
+    edges = [(c + str(s), w) for s in range(16) for c in "pq" for w in words[s:s + 10]]
+    found = pii.discover(spark.createDataFrame(edges, "pattern string, word string"))
+    assert {r["word"] for r in found.collect()} == set(words[9:])

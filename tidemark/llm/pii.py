@@ -6,11 +6,11 @@ offsets. The patterns are written so that no text makes them backtrack: a run is
 first character or where the last match ended, and repeats are possessive.
 
 Bootstrapping starts from the base matches. An *instance* is a word that looks like an identifier
-(an @ or five digits), a *pattern* the word before it. A pattern's confidence is the score of its
+(an @ or five digits) or a base span written with blanks, a *pattern* the word before it. A pattern's confidence is the score of its
 instances over their number, for its best kind; an instance's score joins the confidences of its
 patterns (one minus the product of their doubts). Seeds have score 1. Patterns need ``SUPPORT``
-seeds and ``CONFIDENT`` confidence, new instances two different patterns and ``ACCEPTED``, and count
-as seeds do in the next round. All occurrences of accepted instances become spans of their kind,
+seeds and ``CONFIDENT`` confidence, new instances two different patterns and ``ACCEPTED``, or one of
+``SOLE_SUPPORT`` and ``SOLE_CONFIDENT``, and count as seeds do in the next round, until none is new. All occurrences of accepted instances become spans of their kind,
 unless they touch a base span.
 
 Defined cases: NULL texts are empty; repeated rows give equal results; texts are searched whole;
@@ -25,9 +25,10 @@ from tidemark.llm.arrow import free_name, named
 from tidemark.llm.graph import stored
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 SUPPORT = 5
 CONFIDENT = 0.8
+SOLE_SUPPORT = 100
+SOLE_CONFIDENT = 0.95
 ACCEPTED = 0.9
 
 _LOCAL = "A-Za-z0-9._%+-"
@@ -101,8 +102,14 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[_kind_spans(text, k) for k in range(len(KINDS))])
 
 
+def _clean(word: Column) -> Column:
+    return F.regexp_replace(F.lower(word), r"[^\p{L}:#=]", "")
+
+
 def contexts(docs: DataFrame) -> DataFrame:
-    """Occurrences of identifier-like words: id, hash, word, its place and the word before it.
+    """Occurrences of identifier-like words, and of base spans that hold blanks.
+
+    id, hash, word, its place and the word before it.
 
     ``docs`` has id, hash and text.
     """
@@ -112,14 +119,27 @@ def contexts(docs: DataFrame) -> DataFrame:
     lefts = F.regexp_extract_all(text, F.lit(_CONTEXT), F.lit(1))
     rows = likely.select("id", "hash", F.inline(F.zip_with(spans, lefts, lambda s, x: F.struct(
         s["value"].alias("word"), s["start"].alias("start"), s["stop"].alias("stop"),
-        F.regexp_replace(F.lower(x), r"[^\p{L}:#=]", "").alias("pattern"),
+        _clean(x).alias("pattern"),
     ))))
-    return rows.where(F.col("pattern") != "")
+    # Cards and phones; a window before the span is enough for the word there.
+    spaced = F.filter(
+        F.concat(_kind_spans(text, 2), _kind_spans(text, 3)), lambda s: s["value"].contains(" ")
+    )
+    begin = F.greatest(F.col("start") - 64, F.lit(0))
+    before = F.substring(F.col("text"), begin + 1, F.col("start") - begin)
+    spans = docs.where(text.rlike(_HINTS[2]) | text.rlike(_HINTS[3])).select(
+        "id", "hash", "text", F.inline(spaced)
+    ).select(
+        "id", "hash", F.col("value").alias("word"), "start", "stop",
+        _clean(F.regexp_extract(before, r"(?<!\S)(\S{1,40})\s*$", 1)).alias("pattern"),
+    )
+    return rows.unionByName(spans).where(F.col("pattern") != "")
 
 
 def discover(
-    occurrences: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
-    confident: float = CONFIDENT, accepted: float = ACCEPTED,
+    occurrences: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT,
+    accepted: float = ACCEPTED, sole_support: int = SOLE_SUPPORT,
+    sole_confident: float = SOLE_CONFIDENT,
 ) -> DataFrame:
     """(word, kind, score) of instances that no fixed pattern knows."""
     edges = stored(occurrences.select("pattern", "word").distinct(), "edges")
@@ -132,8 +152,8 @@ def discover(
     )
     spark = occurrences.sparkSession
     new = stored(spark.createDataFrame([], "word string, kind int, score double"), "instances")
-    seen = 0
-    for _ in range(rounds):
+    seen = (0, 0.0)
+    while True:
         known = seeds.unionByName(new).select(F.col("word").alias("w"), "kind", "score")
         joined = edges.join(known, F.col("word") == F.col("w"), "left")
         per_kind = [
@@ -146,23 +166,32 @@ def discover(
         ).where(F.col("known") >= support)
         best = F.array_max("sums")
         patterns = scored.select(
-            F.col("pattern").alias("p"), (best / F.col("n")).alias("confidence"),
+            F.col("pattern").alias("p"), "known", (best / F.col("n")).alias("confidence"),
             (F.array_position("sums", best) - 1).cast("int").alias("kind"),
         ).where(F.col("confidence") >= confident)
         doubt = F.log(1.0 - F.least(F.col("confidence"), F.lit(0.999)))
         reached = edges.join(patterns, F.col("pattern") == F.col("p")).groupBy(
             "word", "kind"
-        ).agg(F.count("*").alias("patterns"), (1 - F.exp(F.sum(doubt))).alias("score"))
-        better = reached.where((F.col("patterns") >= 2) & (F.col("score") >= accepted))
+        ).agg(
+            F.count("*").alias("patterns"), (1 - F.exp(F.sum(doubt))).alias("score"),
+            F.max((F.col("known") >= sole_support) & (F.col("confidence") >= sole_confident)).alias("sole"),
+        )
+        better = reached.where(
+            ((F.col("patterns") >= 2) | F.col("sole")) & (F.col("score") >= accepted)
+        )
         chosen = better.groupBy("word").agg(
             F.max_by("kind", "score").alias("kind"), F.max("score").alias("score")
         )
-        new = stored(chosen.join(seeds.select("word"), "word", "left_anti"), "instances")
-        size = new.count()
-        if size == seen:
-            break
-        seen = size
-    return new
+        # What was accepted stays, so the rounds end.
+        both = chosen.join(seeds.select("word"), "word", "left_anti").unionByName(new)
+        new = stored(both.groupBy("word").agg(
+            F.max_by("kind", "score").alias("kind"), F.max("score").alias("score")
+        ), "instances")
+        about = new.agg(F.count("*").alias("n"), F.sum("score").alias("s")).first()
+        now = (about["n"], round(about["s"] or 0.0, 3))
+        if now == seen:
+            return new
+        seen = now
 
 
 def _extra(occurrences: DataFrame, found: DataFrame) -> DataFrame:
