@@ -59,6 +59,15 @@ def test_huge_components_stay_exact(spark):
     rng = random.Random(2)
     check(spark, [(i, [rng.uniform(-1, 1) * 1e15 for _ in range(4)]) for i in range(40)])
     check(spark, [(i, [rng.uniform(-1, 1) * 1e7 for _ in range(4)]) for i in range(40)])
+    check(spark, [(i, [rng.uniform(-1, 1) * 6e6 for _ in range(4)]) for i in range(40)])
+    check(spark, [(i, [rng.uniform(-1, 1) * 1e160]) for i in range(10)])
+
+
+def test_tiny_negatives_floor_to_minus_one_and_the_whole_long_range_counts(spark):
+    check(spark, [(0, [1.0, -1e-20]), (1, [1.0, 1.0]), (2, [2.0, 2.0]), (3, [0.5, -1e-20])])
+    big = [(0, [3.2e7, 1.0]), (1, [3.11e6, 1.0]), (2, [3.11e6, 2.0]), (3, [-3.11e6, 0.0])]
+    assert 2 ** 62 < brute(big, 5, 1)[0][3] < 2 ** 63
+    check(spark, big)
 
 
 @pytest.mark.parametrize("name", ["sf0.001"])

@@ -32,8 +32,10 @@ def usable(embeddings: DataFrame, by: str, vector: str, scale: float = 1.0) -> D
     """
     values = named(vector).cast("array<double>")
     if scale != 1.0:
-        # floor() of a double is a bigint in Spark and would saturate; v - pmod(v, 1) stays double.
-        values = F.transform(values, lambda x: x * scale - F.pmod(x * scale, F.lit(1.0)))
+        # floor() of a double is a bigint in Spark and would saturate; from 2^53 on doubles are whole.
+        values = F.transform(values, lambda x: F.when(
+            F.abs(x * scale) < 2.0 ** 53, F.floor(x * scale).cast("double")
+        ).otherwise(x * scale))
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = embeddings.select(named(by).cast("long").alias("id"), values.alias("vec"))
     rows = rows.where(F.col("id").isNotNull() & F.col("vec").isNotNull()).where(fine)

@@ -8,7 +8,8 @@ scores at or above that end (of one block never more than k, which a block's own
 exactly) and ranks them, ties to the smaller id.
 
 Scores are integers: components are floor(256 * x), and products are summed exactly, in doubles
-while the Cauchy-Schwarz bound stays below 2^53 and in Python integers beyond, clamped to +-2^60.
+while the Cauchy-Schwarz bound stays below 2^53 and in Python integers beyond. A score that a long
+cannot hold counts, and is returned, as the long range's end (+-(2^63 - 2)).
 
 Defined cases: rows without id and vectors that are NULL or hold a NULL or non-finite component
 (before or after scaling) take no part; vectors of another length than the query's are not its
@@ -30,7 +31,7 @@ SCALE = 256.0
 BINS = 128
 LISTED = 4  # times k: so many scores at or above the lower end are few enough to list
 TILE = 512
-EDGE = 1 << 60
+EDGE = (1 << 63) - 2
 
 
 def _scores(q: np.ndarray, x: np.ndarray, exact: bool) -> np.ndarray:
@@ -67,13 +68,15 @@ def _histogram(exact: bool):
                 key, ids = row["q_id"], np.frombuffer(row["q_id"], np.int64)
                 counts = np.zeros((len(ids), BINS), np.int64)
             lo, hi = (np.frombuffer(row[f"q_{c}"], np.int64) for c in ("lo", "hi"))
-            width = -(-(hi - lo) // BINS)
+            # Intervals may be wider than a long, but not than an unsigned one.
+            width = (hi.view(np.uint64) - lo.view(np.uint64) + np.uint64(BINS - 1)) // np.uint64(BINS)
             for a, scores, own in _tiles(row, exact):
                 n = len(scores)
                 low, high, w = (v[a:a + n, None] for v in (lo, hi, width))
                 inside = (scores >= low) & (scores < high) & ~own
                 at = np.nonzero(inside)[0]
-                bins = ((scores - low) // w)[inside]
+                above = scores.view(np.uint64) - low.view(np.uint64)
+                bins = (above // w)[inside].astype(np.int64)
                 counts[a:a + n] += np.bincount(
                     at * BINS + bins, minlength=n * BINS
                 ).reshape(n, BINS)
@@ -117,7 +120,8 @@ def search(
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
     about = rows.agg(F.count("*").alias("n"), F.max(norm).alias("m")).first()
     asked = queries.agg(F.count("*").alias("n"), F.max(norm).alias("m")).first()
-    bound = min((about["m"] or 0.0) * (asked["m"] or 0.0) * (1 + 1e-9) + 1, float(EDGE))
+    most = (about["m"] or 0.0) * (asked["m"] or 0.0) * (1 + 1e-9) + 1
+    bound = int(most) if most < EDGE else EDGE  # also where a norm overflows
     exact = bound < 2 ** 53
     lines, columns = grid.lines_for(asked["n"]), grid.columns_for(about["n"], spark)
     blocks = stored(
@@ -132,7 +136,7 @@ def search(
 
     # The k-th largest score lies in [lo, hi); ``above`` scores are hi or more.
     state = queries.select(
-        "*", F.lit(-int(bound) - 1).alias("lo"), F.lit(int(bound) + 1).alias("hi"),
+        "*", F.lit(-bound - 1).cast("long").alias("lo"), F.lit(bound + 1).cast("long").alias("hi"),
         F.lit(0).cast("long").alias("above"), F.lit(False).alias("done"),
     )
     from_top = Window.partitionBy("id").orderBy(F.col("bin").desc())
@@ -150,14 +154,16 @@ def search(
             F.min_by("n", "over").alias("n"),
         )
         state = state.join(at, F.col("id") == F.col("i"), "left")
-        width = F.expr(f"(hi - lo + {BINS - 1}) div {BINS}")  # as in _histogram
-        low = F.col("lo") + F.col("bin") * width
+        # As in _histogram; decimals, since the interval may be wider than a long.
+        lo, hi = (F.col(c).cast("decimal(20,0)") for c in ("lo", "hi"))
+        width = F.floor((hi - lo + (BINS - 1)) / BINS).cast("decimal(20,0)")
+        low = lo + F.col("bin") * width
         narrow = ~F.col("done") & F.col("bin").isNotNull()
         found = F.col("above") + F.col("over")
         state = stored(state.select(
             "id", "dim", "vec",
-            F.when(narrow, low).otherwise(F.col("lo")).alias("lo"),
-            F.when(narrow, F.least(low + width, F.col("hi"))).otherwise(F.col("hi")).alias("hi"),
+            F.when(narrow, low.cast("long")).otherwise(F.col("lo")).alias("lo"),
+            F.when(narrow, F.least(low + width, hi).cast("long")).otherwise(F.col("hi")).alias("hi"),
             F.when(narrow, found - F.col("n")).otherwise(F.col("above")).alias("above"),
             (F.col("done") | F.col("bin").isNull() | (width == 1)
              | (found <= LISTED * k)).alias("done"),
