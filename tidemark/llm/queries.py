@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, byte_bpe, language, lines, packing, pii, simhash, suffixes, topk, warc
+from tidemark.llm import (
+    ann, byte_bpe, language, lines, negatives, packing, pii, simhash, suffixes, topk, warc,
+    whitening,
+)
 from tidemark.sources.shared import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +59,14 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.report(table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.report(table(spark, folder, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.report(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_topk": op1_topk,
@@ -68,6 +79,8 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_line_dedup": op9_line_dedup,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_whitening": op11_whitening,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
@@ -75,6 +88,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk": TOPK,
         "op4_warc": WARC,
+        "op12_hard_negatives": NEGATIVES,
     }
 
 
@@ -106,3 +120,27 @@ SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
   CASE WHEN target <> page_id THEN target END AS refers_to
 FROM p LEFT JOIN f ON html = h
 """
+
+
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+    list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score, row_number() OVER (
+    PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3
+"""
