@@ -94,9 +94,9 @@ def oracle_sql() -> dict[str, str]:
 
 TOPK = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
   FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
@@ -125,9 +125,9 @@ FROM p LEFT JOIN f ON html = h
 NEGATIVES = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
 ), s AS (
   SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
     list_dot_product(a.e, c.e)::BIGINT AS score
