@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    ann, byte_bpe, language, lines, negatives, packing, pii, simhash, suffixes, topk, warc,
+    ann, byte_bpe, language, ledger, lines, negatives, packing, pii, simhash, suffixes, topk, warc,
     whitening,
 )
 from tidemark.sources.shared import fresh_path
@@ -67,6 +67,10 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.report(table(spark, folder, "embeddings"))
 
 
+def op13_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return ledger.report(table(spark, folder, "documents"), fresh_path(spark, "ledger"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_topk": op1_topk,
@@ -81,6 +85,7 @@ def queries() -> dict[str, Query]:
         "op10_suffix_dedup": op10_suffix_dedup,
         "op11_whitening": op11_whitening,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_secret_ledger": op13_secret_ledger,
     }
 
 
