@@ -85,6 +85,16 @@ def bi_calendar(days: DataFrame, day: str = "date_key") -> DataFrame:
     )
 
 
+def labels_name_entities(panel: DataFrame, spec: PanelSpec = EPIDEMIC) -> bool:
+    """Whether no entity code goes by two labels, or by none: one row per (label, date) is then one
+    per (entity, date). Reads two columns and keeps one row per entity."""
+    labels = panel.where(_has_key(spec)).groupBy(spec.entity).agg(
+        F.min(spec.label).alias("a"), F.max(spec.label).alias("b"),
+        F.count_if(F.col(spec.label).isNull()).alias("bare"),
+    )
+    return labels.where("bare > 0 or a <> b").isEmpty()
+
+
 def fact_daily(
     panel: DataFrame, spec: PanelSpec = EPIDEMIC, columns: tuple[str, ...] = FACT_COLUMNS,
     unique: bool = False,

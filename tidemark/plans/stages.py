@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,14 +11,23 @@ from tidemark.operators import quality, views
 from tidemark.operators.clean import clean
 from tidemark.operators.panel import latest_values
 from tidemark.operators.stats import correlation_matrix, correlation_test, risk_scores
-from tidemark.operators.star import dim_date, dim_entity, fact_daily
+from tidemark.operators.star import dim_date, dim_entity, fact_daily, labels_name_entities
 from tidemark.operators.waves import detect_peaks, label_waves
-from tidemark.sources.io import export_views, load_staging, read_raw, write
+from tidemark.plans.handover import Handover
+from tidemark.sources import commits
+from tidemark.sources.io import as_staging, export_views, read_raw
+from tidemark.sources.shared import materialise
 from tidemark.spec import (
     EPIDEMIC, FOCUS_ENTITY, PEAK_DISTANCE, PEAK_PROMINENCE, RAW_COLUMNS, PanelSpec,
 )
 
 STAGES = ("clean", "analyse", "star", "validate", "export")
+STAGE_OF = {
+    **dict.fromkeys(("panel", "focus", "summary", "sanity"), "clean"),
+    **dict.fromkeys(("waves", "correlations", "correlation_tests", "risk"), "analyse"),
+    **dict.fromkeys(("staging", "dim_entity", "dim_date", "fact"), "star"),
+    **dict.fromkeys(("reconciliation", "constraints"), "validate"),
+}
 
 
 @dataclass
@@ -45,16 +55,28 @@ def view_builders(
     fact: DataFrame, dim: DataFrame, dates: DataFrame, focus: str = FOCUS_ENTITY,
     min_pop: int = 1_000_000,
 ) -> dict:
-    """The eight views by name, each built only when called."""
+    """The eight views by name, each built only when called.
+
+    Five of them read one stored snapshot and one stored rollup, made when the first of them is
+    built; the trend, the focus's rows and the covered rows are a scan each.
+    """
+    @cache
+    def current() -> DataFrame:
+        return materialise(views.snapshot(fact))
+
+    @cache
+    def months() -> DataFrame:
+        return materialise(views.rollup(fact))
+
     return {
         "v_global_daily_trend": lambda: views.global_daily_trend(fact),
-        "v_continental_summary": lambda: views.continental_summary(fact, dim),
-        "v_country_latest": lambda: views.country_latest(fact, dim),
+        "v_continental_summary": lambda: views.continental_summary(fact, dim, current=current()),
+        "v_country_latest": lambda: views.country_latest(fact, dim, current=current()),
         "v_entity_timeline": lambda: views.entity_timeline(fact, dates, focus),
-        "v_monthly_by_group": lambda: views.monthly_by_group(fact, dim),
-        "v_coverage_progress": lambda: views.coverage_progress(fact, dim),
-        "v_high_risk": lambda: views.high_risk(fact, dim, min_pop),
-        "v_wave_summary": lambda: views.wave_summary(fact, dim, min_pop),
+        "v_monthly_by_group": lambda: views.monthly_by_group(fact, dim, months=months()),
+        "v_coverage_progress": lambda: views.coverage_progress(fact, dim, current=current()),
+        "v_high_risk": lambda: views.high_risk(fact, dim, min_pop, current=current()),
+        "v_wave_summary": lambda: views.wave_summary(fact, dim, min_pop, months=months()),
     }
 
 
@@ -63,63 +85,57 @@ def run_stages(
 ) -> Outcome:
     """Run the chosen stages; a failed cleaning stops the run, later failures do not.
 
-    Stages hand over through tables in ``out``, so a lost executor or a rerun of one stage never
-    repeats the ones before it. The star stage needs the waves of the panel that lies there.
+    Stages hand over through tables in ``out`` (see ``handover``), so a lost executor or a rerun of
+    one stage never repeats the ones before it. A stage refuses tables that are unfinished or were
+    made from other rows than those that lie there now, whichever call wrote them.
     """
     s = settings or Settings()
     result = Outcome()
-    path = {n: f"{out}/{n}" for n in (
-        "panel", "focus", "summary", "staging", "waves", "correlations", "correlation_tests",
-        "risk", "dim_entity", "dim_date", "fact", "reconciliation", "constraints", "sanity",
-        "views",
-    )}
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(path[name])
+    hand = Handover(spark, out, STAGE_OF)
+    table = hand.read
 
-    def save(name: str, df: DataFrame) -> None:
-        result.tables[name] = write(df, path[name])
+    def save(name: str, df: DataFrame, *inputs: str, about: dict | None = None) -> None:
+        result.tables[name] = hand.save(name, df, inputs, about)
 
     def clean_stage() -> None:
         raw = read_raw(spark, source, RAW_COLUMNS).frame
-        save("panel", clean(raw, s.spec, unique=s.unique))
+        files, size = commits.size_of(spark, source) if not any(c in source for c in "*?[{") else (0, 0)
+        about = {"source": source, "files": files, "bytes": size}
+        save("panel", clean(raw, s.spec, unique=s.unique), about=about)
         panel = table("panel")
-        save("focus", panel.where(panel[s.spec.entity] == s.focus))
-        save("summary", latest_values(panel, s.spec))
-        save("sanity", quality.sanity_counts(panel))
+        save("focus", panel.where(panel[s.spec.entity] == s.focus), "panel")
+        save("summary", latest_values(panel, s.spec), "panel")
+        save("sanity", quality.sanity_counts(panel), "panel")
 
     def analyse_stage() -> None:
         panel, summary = table("panel"), table("summary")
         peaks = detect_peaks(panel, distance=s.distance, least=s.least, spec=s.spec)
-        save("waves", label_waves(panel, peaks, s.spec))
-        save("correlations", correlation_matrix(summary))
+        save("waves", label_waves(panel, peaks, s.spec), "panel")
+        save("correlations", correlation_matrix(summary), "summary")
         pair = ("vaccination_rate", "case_fatality_rate")
         tests = [correlation_test(summary, *pair, method=m) for m in ("pearson", "spearman")]
-        save("correlation_tests", tests[0].unionByName(tests[1]))
-        save("risk", risk_scores(summary, s.spec))
+        save("correlation_tests", tests[0].unionByName(tests[1]), "summary")
+        save("risk", risk_scores(summary, s.spec), "summary")
 
     def star_stage() -> None:
-        # Waves may come from an earlier call, but not from before this call's panel.
-        if "panel" in result.tables and "waves" not in result.tables:
-            raise RuntimeError("the panel is new: run the analyse stage before the star stage")
         labelled = table("waves")
-        load_staging(labelled, path["staging"])
-        result.tables["staging"] = path["staging"]
-        staged = table("staging")
-        save("dim_entity", dim_entity(staged, s.spec))
-        save("dim_date", dim_date(staged, s.spec))
-        # Cleaning left one row per (label, date); labels of one entity may still differ.
-        save("fact", fact_daily(staged, s.spec))
+        save("staging", as_staging(labelled), "waves")
+        save("dim_entity", dim_entity(labelled, s.spec), "waves")
+        save("dim_date", dim_date(labelled, s.spec), "waves")
+        # Typed rows, not the staged text: they are parsed and settled already.
+        unique = labels_name_entities(labelled, s.spec)
+        save("fact", fact_daily(labelled, s.spec, unique=unique), "waves")
 
     def validate_stage() -> None:
         fact = table("fact")
-        save("reconciliation", quality.reconcile(table("staging"), fact))
-        save("constraints", quality.constraint_report(fact, table("dim_entity"), table("dim_date")))
+        save("reconciliation", quality.reconcile(table("staging"), fact), "staging", "fact")
+        report = quality.constraint_report(fact, table("dim_entity"), table("dim_date"))
+        save("constraints", report, "fact", "dim_entity", "dim_date")
 
     def export_stage() -> None:
         fact, dim, dates = table("fact"), table("dim_entity"), table("dim_date")
         builders = view_builders(fact, dim, dates, s.focus, s.min_pop)
-        for name, state in export_views(builders, path["views"]).items():
+        for name, state in export_views(builders, f"{out}/views").items():
             result.status[name] = state
 
     work = {
