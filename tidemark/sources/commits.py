@@ -36,6 +36,16 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(place))
 
 
+def changed(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """(name, time of the last change in seconds) of a folder's direct entries."""
+    place, fs, _ = _place(spark, path)
+    if not fs.exists(place):
+        return []
+    return sorted(
+        (s.getPath().getName(), s.getModificationTime() / 1000) for s in fs.listStatus(place)
+    )
+
+
 def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
     """Files and bytes under a path; (0, 0) if it does not exist."""
     place, fs, _ = _place(spark, path)
@@ -63,6 +73,20 @@ def get_json(spark: SparkSession, path: str) -> dict | None:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, unpacked where its name says so."""
+    place, fs, _ = _place(spark, path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    stream = fs.open(place)
+    try:
+        opened = codec.createInputStream(stream) if codec is not None else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(opened, "UTF-8"))
+        return reader.readLine()
+    finally:
+        stream.close()
+
+
 def put_json(spark: SparkSession, path: str, content: dict, replace: bool = False) -> bool:
     """Write a file whole. Without ``replace``, False if the name is already taken."""
     place, fs, context = _place(spark, path)
