@@ -1,6 +1,7 @@
 """Peaks on hand-worked signals and against a direct definition; wave labels against a loop."""
 
 import datetime as dt
+import time
 
 import numpy as np
 import pytest
@@ -62,6 +63,48 @@ def test_random_signals_against_the_definition(seed):
     assert local_maxima(x).tolist() == slow_peaks(x, 1, 0)
 
 
+def earlier_rule(x, distance, least):
+    """The quadratic form of the same rules."""
+    peaks = local_maxima(x)
+    keep = np.ones(len(peaks), dtype=bool)
+    for j in np.argsort(x[peaks], kind="stable")[::-1]:
+        if keep[j]:
+            near = np.abs(peaks - peaks[j]) < distance
+            near[j] = False
+            keep &= ~near
+    out = []
+    for p in peaks[keep]:
+        higher = np.flatnonzero(x > x[p])
+        cut = np.searchsorted(higher, p)
+        start = higher[cut - 1] + 1 if cut else 0
+        stop = higher[cut] if cut < len(higher) else len(x)
+        if x[p] - max(x[start:p + 1].min(), x[p:stop].min()) >= least:
+            out.append(p)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_long_signals_with_plateaus_against_the_quadratic_form(seed):
+    rng = np.random.default_rng(100 + seed)
+    x = np.repeat(rng.integers(0, 40, 1500), rng.integers(1, 4, 1500)).astype(float)
+    x = np.round(x + np.cumsum(rng.normal(size=len(x))) * (seed % 3), seed % 2)
+    for distance, least in ((1, 0), (7, 3), (60, 10), (10**6, 0)):
+        assert find_peaks(x, distance, least).tolist() == earlier_rule(x, distance, least)
+
+
+@pytest.mark.parametrize("make", [
+    lambda rng, n: rng.normal(size=n), lambda rng, n: np.cumsum(rng.normal(size=n)),
+    lambda rng, n: np.arange(n) + 2.0 * (np.arange(n) % 2),  # every peak higher than the last
+    lambda rng, n: np.zeros(n),
+])
+def test_a_million_points_take_seconds(make):
+    x = make(np.random.default_rng(0), 1_000_000)
+    started = time.perf_counter()
+    for distance in (1, 30, 400_000):
+        find_peaks(x, distance, 0.8)
+    assert time.perf_counter() - started < 30
+
+
 def test_detection_and_labels_for_every_entity(spark, panel_of):
     rng = np.random.default_rng(1)
     signals = {

@@ -22,34 +22,48 @@ def _sort(order: Order) -> list[Column]:
     ]
 
 
-def value_ranks(df: DataFrame, order: Order, by: list[str] | None = None) -> DataFrame:
-    """Per distinct value: ``copies``, competition ``rank`` and ``dense_rank`` within ``by``."""
+def running_counts(
+    counts: DataFrame, order: Order, by: list[str] | None = None, columns: tuple[str, ...] = ("copies",)
+) -> DataFrame:
+    """``counts`` with ``_before_`` and each of its ``columns``: the sum over the rows ordered before.
+
+    ``counts`` has one row per value within ``by``. ``_nth`` numbers them.
+    """
     by = by or []
-    names = [c for c, _ in order]
-    counts = df.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("copies"))
     ranged = counts.repartitionByRange(*[F.col(c) for c in by], *_sort(order))
     # The slice number is stored with the rows: both uses below must see the same cut.
     sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()))
     sizes = sliced.groupBy(*by, "_slice").agg(
-        F.sum("copies").alias("_rows"), F.count(F.lit(1)).alias("_values")
+        F.count(F.lit(1)).alias("_values"), *[F.sum(c).alias(f"_sum_{c}") for c in columns]
     )
     # One row per (group, slice): with no group that is at most the number of partitions.
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         *[F.col(c).alias(f"_s_{c}") for c in [*by, "_slice"]],
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_row0"),
         F.coalesce(F.sum("_values").over(earlier), F.lit(0)).alias("_value0"),
+        *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_start_{c}") for c in columns],
     )
     inside = Window.partitionBy(*by, "_slice").orderBy(*_sort(order))
-    before = F.coalesce(
-        F.sum("copies").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    numbered = sliced.withColumn("_before", before).withColumn("_nth", F.row_number().over(inside))
+    above = inside.rowsBetween(Window.unboundedPreceding, -1)
+    numbered = sliced.withColumns({
+        "_nth": F.row_number().over(inside),
+        **{f"_in_{c}": F.coalesce(F.sum(c).over(above), F.lit(0)) for c in columns},
+    })
     on = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in [*by, "_slice"]]
     return numbered.join(starts, on).select(
-        *by, *names, "copies",
-        (F.col("_row0") + F.col("_before") + 1).alias("rank"),
-        (F.col("_value0") + F.col("_nth")).alias("dense_rank"),
+        *counts.columns, (F.col("_value0") + F.col("_nth")).alias("_nth"),
+        *[(F.col(f"_start_{c}") + F.col(f"_in_{c}")).alias(f"_before_{c}") for c in columns],
+    )
+
+
+def value_ranks(df: DataFrame, order: Order, by: list[str] | None = None) -> DataFrame:
+    """Per distinct value: ``copies``, competition ``rank`` and ``dense_rank`` within ``by``."""
+    by = by or []
+    names = [c for c, _ in order]
+    counts = df.groupBy(*by, *names).agg(F.count(F.lit(1)).alias("copies"))
+    return running_counts(counts, order, by).select(
+        *by, *names, "copies", (F.col("_before_copies") + 1).alias("rank"),
+        F.col("_nth").alias("dense_rank"),
     )
 
 
