@@ -29,6 +29,40 @@ def test_latest_row_and_latest_values_differ_on_null_tails(panel_of):
     assert (row.total_cases, row.location, row.continent) == (5, "b", "X")
 
 
+def test_cleaning_moves_wide_rows_once(spark):
+    """Without repeated keys one exchange; with some, only their rows move twice."""
+    from tidemark.operators import clean as C
+    from tidemark.sources.shared import fresh_path
+
+    rows = [(f"E{e}", f"Land {e}", f"2021-01-{d:02d}", str(e * d)) for e in range(6) for d in range(1, 20)]
+    extra = [rows[3], rows[3], (rows[5][0], rows[5][1], rows[5][2], "77")]
+    others = ("total_cases", "total_deaths", "population", "people_fully_vaccinated", "total_tests")
+
+    def table(data):
+        df = spark.createDataFrame(data, "iso_code string, location string, date string, new_cases string")
+        return df.withColumns({c: F.col("new_cases") for c in others})
+
+    def exchanges(data):
+        path = fresh_path(spark, "t")
+        table(data).write.parquet(path)
+        out = C.clean(spark.read.parquet(path))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        return out, plan.count("Exchange hashpartitioning")
+
+    once, n = exchanges(rows)
+    assert n == 1 and once.count() == len(rows)
+    settled, n = exchanges(rows + extra)
+    assert n == 2 and settled.count() == len(rows)
+    kept = table(rows + extra)
+    for few in (C.FEW, 0):
+        old, C.FEW = C.FEW, few
+        try:
+            again = C.clean(kept)
+            assert sorted(map(str, again.collect())) == sorted(map(str, settled.collect()))
+        finally:
+            C.FEW = old
+
+
 def test_one_row_per_key_is_stable_and_prunes_before_the_shuffle(spark):
     df = spark.range(20000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
@@ -160,6 +194,29 @@ def test_correlations_match_pandas(spark):
         assert np.allclose(got.loc[kind].loc[names, names].astype(float), want.loc[names, names])
 
 
+def test_correlations_of_many_ties_and_gaps_match_pandas(spark):
+    rng = np.random.default_rng(5)
+    names = list(S.CORRELATION_METRICS)
+    pdf = pd.DataFrame({c: rng.integers(0, 3 + 4 * i, 400).astype(float) for i, c in enumerate(names)})
+    pdf[names[1]] += pdf[names[0]]
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.2)
+    pdf[names[-1]] = 1.0  # does not vary
+    frame = spark.createDataFrame(
+        [tuple(None if pd.isna(v) else float(v) for v in r) for r in pdf.itertuples(index=False)],
+        ", ".join(f"{c} double" for c in names),
+    ).repartition(5)
+    got = S.correlation_matrix(frame).toPandas().set_index(["correlation_type", "metric"])
+    for kind in ("pearson", "spearman"):
+        for a in names:
+            for b in names:
+                both = pdf[[a, b]].dropna().to_numpy()
+                if kind == "spearman":
+                    both = pd.DataFrame(both).rank().to_numpy()
+                want = np.corrcoef(both.T)[0, 1] if names[-1] not in (a, b) else None
+                value = got.loc[(kind, a), b]
+                assert pd.isna(value) if want is None else abs(value - want) < 1e-9, (kind, a, b)
+
+
 @pytest.mark.parametrize("r,n,p", [
     (0.0, 12, 1.0), (1.0, 12, 0.0), (-1.0, 12, 0.0), (0.5, 4, 0.5),  # df 2: p = 1 - |r|
     (0.6, 3, 1 - 2 / np.pi * np.arctan(0.75)),                       # df 1: Cauchy tail
@@ -171,6 +228,45 @@ def test_p_values_with_closed_forms(spark, r, n, p):
     assert df.select(correlation_p_value("r", "n").alias("p")).first().p == pytest.approx(p, abs=1e-12)
 
 
+def test_p_values_keep_their_digits_at_every_n(spark):
+    """Against the normal tail for huge n and against sums of powers for even degrees of freedom."""
+    import math
+
+    from tidemark.functions.tdist import correlation_p_value
+
+    cases = []
+    for n in (10**9, 10**10, 10**12, 10**13, 10**15):
+        for t in (0.01, 1.0, 2.0, 5.0, 9.0):
+            v = n - 2
+            z = t * (1 - (t * t + 1) / (4 * v))  # normal value of the same tail, to order 1/v
+            cases.append((t / math.sqrt(v + t * t), n, math.erfc(z / math.sqrt(2))))
+    for v in (2, 4, 10, 40, 300):
+        for r in (1e-9, 0.1, 0.5, 0.9, 0.999):
+            # 1 - p = r * sum over j < v/2 of (1/2)_j / j! * (1 - r^2)^j
+            term, total = 1.0, 0.0
+            for j in range(v // 2):
+                total += term
+                term *= (j + 0.5) / (j + 1) * (1 - r * r)
+            rest = term  # the rest of the series, whose whole sum is 1 / r, gives p without cancelling
+            tail, j = 0.0, v // 2
+            while rest > 1e-18 * max(tail, 1e-300) and j < 3_000_000:
+                tail += rest
+                rest *= (j + 0.5) / (j + 1) * (1 - r * r)
+                j += 1
+            if r >= 0.1:
+                cases.append((r, v + 2, r * tail))
+            else:
+                cases.append((r, v + 2, 1 - r * total))
+    df = spark.createDataFrame(cases, "r double, n long, want double")
+    rows = df.select("*", correlation_p_value("r", "n").alias("p")).collect()
+    for row in rows:
+        assert row.p == pytest.approx(row.want, rel=2e-8), row
+    plan = df.select(correlation_p_value("r", "n"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    none = spark.createDataFrame([(None, 9), (float("nan"), 9), (0.5, 2)], "r double, n long")
+    assert {r.p for r in none.select(correlation_p_value("r", "n").alias("p")).collect()} == {None}
+
+
 def test_correlation_test_guards(spark):
     _, frame = _numbers(spark, 9)
     assert S.correlation_test(frame, "vaccination_rate", "case_fatality_rate").count() == 0

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q, star
 from tidemark.operators.clean import clean
-from tidemark.plans.stages import Settings, run_stages
-from tidemark.sources import io
+from tidemark.plans.handover import Handover, StaleTable
+from tidemark.plans.stages import STAGES, Settings, run_stages
+from tidemark.sources import commits, io
 from tidemark.sources.shared import fresh_path
 from tidemark.spec import FACT_COLUMNS, RAW_COLUMNS
 
@@ -99,6 +100,32 @@ def test_key_report_counts_violations(spark, panel_of):
                    "entity_label_missing": 1}
 
 
+def test_key_report_scans_each_table_once(spark, panel_of):
+    fact = panel_of(
+        [{"iso_code": "A", "date": "2021-01-01"}] * 3 + [{"iso_code": "A", "date": "2021-01-02"}] * 2
+        + [{"iso_code": None, "date": "2021-01-01"}, {"iso_code": None, "date": None}]
+        + [{"iso_code": "Z", "date": "2021-01-05"}] * 4, "new_cases",
+    )
+    dim = spark.sql("select * from values ('A', null), ('B', 'b'), ('B', 'c'), (null, 'n') t(iso_code, location)")
+    dates = star.dim_date(fact.where("iso_code = 'A'")).unionByName(spark.sql(
+        "select date'2021-01-01', int(null), 9, 13, 'x', 1, 8, 'x', 1")
+        .toDF(*star.dim_date(fact).columns))
+    stored = [spark.read.parquet(io.write(t, fresh_path(spark, n))) for n, t in
+              (("thefact", fact), ("thedim", dim), ("thedates", dates))]
+    report = Q.constraint_report(*stored)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert [plan.count(f"/{n}-") for n in ("thefact", "thedim", "thedates")] == [1, 1, 1]
+    got = {r.rule: r.violations for r in report.collect()}
+    assert got == {
+        "fact_key_repeated": 3, "entity_key_repeated": 1, "date_key_repeated": 1,
+        "fact_entity_unknown": 6, "fact_date_unknown": 5, "fact_entity_missing": 2,
+        "fact_date_missing": 1, "entity_label_missing": 1, "date_quarter_range": 1,
+        "date_month_range": 1, "date_day_of_week_range": 1, "date_year_missing": 1,
+    }
+    empty = Q.constraint_report(*[t.limit(0) for t in stored])
+    assert {r.violations for r in empty.collect()} == {0}
+
+
 def test_raw_read_reports_absent_columns(spark, raw):
     path = io.write(raw.drop("icu_patients"), fresh_path(spark, "t"), "csv")
     got = io.read_raw(spark, path)
@@ -107,13 +134,32 @@ def test_raw_read_reports_absent_columns(spark, raw):
     assert "icu_patients" not in clean(got.frame).columns
 
 
+def test_raw_columns_go_by_name_in_every_file(spark):
+    """Files with three orders of columns, one of them short, one empty, one packed."""
+    folder = fresh_path(spark, "t")
+    order = ["iso_code", "date", "location", "new_cases", "new_deaths"]
+    rows = [("A", "2021-01-0%d", "Land, \"A\"", str(10 * i), str(i)) for i in range(1, 5)]
+    for i, columns in enumerate([order, order[:3] + ["new_deaths", "new_cases"],
+                                 ["extra", *reversed(order)], order[:4]], 1):
+        frame = spark.createDataFrame([(r[0], r[1] % i, *r[2:]) for r in rows[i - 1:i]], order)
+        frame.withColumn("extra", F.lit("x")).select(*columns).write.mode("append").option(
+            "header", True).option("compression", "gzip" if i == 3 else "none").csv(folder)
+    spark.createDataFrame([], "iso_code string").coalesce(1).write.mode("append").csv(folder)
+    got = io.read_raw(spark, folder)
+    assert sorted(map(tuple, got.frame.select(*order).collect())) == [
+        ("A", f"2021-01-0{i}", "Land, \"A\"", str(10 * i), None if i == 4 else str(i)) for i in range(1, 5)]
+    assert len(got.groups) == 4 and "new_deaths" not in got.missing and "icu_patients" in got.missing
+    assert [g.missing for g in got.groups if len(g.header) == 4][0][:1] != () and any(
+        "new_deaths" in g.missing for g in got.groups)
+
+
 def test_insert_new_skips_known_keys_and_repeats(spark):
     target = fresh_path(spark, "t")
     first = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     io.insert_new(first, target, ["k"])
-    assert spark.read.parquet(target).count() == 2
+    assert io.read_inserted(spark, target).count() == 2
     io.insert_new(spark.createDataFrame([(2, "x"), (3, "d")], "k int, v string"), target, ["k"])
-    got = {r.k: r.v for r in spark.read.parquet(target).collect()}
+    got = {r.k: r.v for r in io.read_inserted(spark, target).collect()}
     assert set(got) == {1, 2, 3} and got[2] == "c"
 
 
@@ -142,6 +188,30 @@ def test_a_failing_view_does_not_stop_the_export(spark):
     assert spark.read.option("header", True).csv(f"{out}/good").count() == 3
 
 
+def test_views_of_the_shared_tables_equal_their_own(spark, raw):
+    """Exports read one snapshot and one rollup; five scans of the fact and no more."""
+    from tidemark.operators import views
+    from tidemark.plans.stages import view_builders
+
+    source, out = io.write(raw, fresh_path(spark, "t"), "csv"), fresh_path(spark, "t")
+    assert run_stages(spark, source, out, Settings(focus="E03", distance=5, least=2)).exit_code == 0
+    fact, dim, dates = (spark.read.parquet(f"{out}/{n}") for n in ("fact", "dim_entity", "dim_date"))
+    built = {n: b() for n, b in view_builders(fact, dim, dates, "E03", 1000).items()}
+    scans = {n: b._jdf.queryExecution().executedPlan().toString().count(f"{out}/fact]") for n, b in built.items()}
+    assert scans == dict.fromkeys(built, 0) | {
+        "v_global_daily_trend": 1, "v_entity_timeline": 1, "v_coverage_progress": 1}, scans
+    own = {
+        "v_continental_summary": views.continental_summary(fact, dim),
+        "v_country_latest": views.country_latest(fact, dim),
+        "v_monthly_by_group": views.monthly_by_group(fact, dim),
+        "v_coverage_progress": views.coverage_progress(fact, dim),
+        "v_high_risk": views.high_risk(fact, dim, 1000),
+        "v_wave_summary": views.wave_summary(fact, dim, 1000),
+    }
+    for name, alone in own.items():
+        assert list(map(str, built[name].collect())) == list(map(str, alone.collect())), name
+
+
 def test_whole_run(spark, raw):
     source = io.write(raw, fresh_path(spark, "t"), "csv")
     out = fresh_path(spark, "t")
@@ -176,11 +246,87 @@ def test_reruns_of_single_stages_keep_the_waves(spark, raw):
         assert run(*stages).exit_code == 0
         assert state() == whole
     renewed = run("clean", "star")
-    assert renewed.exit_code == 1 and "analyse" in renewed.status["star"]
+    assert renewed.exit_code == 0 and state() == whole  # cleaned to the same rows as before
     nothing = run_stages(spark, source, fresh_path(spark, "t"), Settings(stages=("star",)))
     assert nothing.exit_code == 1
 
 
+def test_stages_refuse_tables_of_another_run(spark, raw):
+    """A full run on one file, cleaning of another, then the later stages alone."""
+    first = io.write(raw.where("location <> 'Land 3'"), fresh_path(spark, "t"), "csv")
+    second, out = io.write(raw, fresh_path(spark, "t"), "csv"), fresh_path(spark, "t")
+
+    def run(source, *stages):
+        return run_stages(spark, source, out, Settings(focus="E04", distance=5, least=2, stages=stages))
+
+    def rows(name):
+        return spark.read.parquet(f"{out}/{name}").count()
+
+    assert run(first, *STAGES).exit_code == 0 and rows("fact") == 13 * 90
+    assert run(second, "clean").exit_code == 0
+    late = run(second, "star", "validate", "export")
+    assert late.exit_code == 1
+    assert "another panel" in late.status["star"] and "analyse" in late.status["star"]
+    assert "another panel" in late.status["validate"] and "another panel" in late.status["export"]
+    assert rows("fact") == 13 * 90  # untouched
+    again = run(second, "analyse", "star", "validate", "export")
+    assert again.exit_code == 0, again.status
+    assert rows("fact") == 14 * 90
+    # The same rows again: nothing that follows becomes stale.
+    assert run(second, "clean").exit_code == 0 and run(second, "validate", "export").exit_code == 0
+
+
+def test_a_stage_killed_while_writing_leaves_no_table_to_read(spark, raw, monkeypatch):
+    source, out = io.write(raw, fresh_path(spark, "t"), "csv"), fresh_path(spark, "t")
+    settings = dict(focus="E03", distance=5, least=2)
+    assert run_stages(spark, source, out, Settings(**settings)).exit_code == 0
+    real = commits.put_json
+
+    def dies(session, path, *rest, **more):
+        if path.endswith("waves.json"):
+            raise OSError("killed")
+        return real(session, path, *rest, **more)
+
+    with monkeypatch.context() as m:
+        m.setattr(commits, "put_json", dies)
+        broken = run_stages(spark, source, out, Settings(**settings, stages=("analyse", "star")))
+    assert "killed" in broken.status["analyse"] and "no finished waves" in broken.status["star"]
+    assert run_stages(spark, source, out, Settings(**settings, stages=("star",))).exit_code == 1
+    done = run_stages(spark, source, out, Settings(**settings, stages=STAGES[1:]))
+    assert done.exit_code == 0, done.status
+    # Something else overwrites a table: refused as well.
+    spark.range(3).write.mode("overwrite").parquet(f"{out}/fact")
+    foreign = run_stages(spark, source, out, Settings(**settings, stages=("validate",)))
+    assert "not what its stage wrote" in foreign.status["validate"]
+
+
+def test_an_input_that_changes_meanwhile_is_noticed(spark):
+    hand = Handover(spark, fresh_path(spark, "t"))
+    hand.save("a", spark.range(5))
+    moved = spark.range(7)
+
+    class Changing:
+        """Replaces ``a`` when the derived rows are asked for."""
+        columns, schema = moved.columns, moved.schema
+
+        def observe(self, *args):
+            hand.save("a", spark.range(6))
+            return moved.observe(*args)
+
+    with pytest.raises(StaleTable, match="changed while"):
+        hand.save("b", Changing(), ("a",))
+    assert hand.manifest("b") is None
+    hand.save("b", moved, ("a",))
+    assert hand.read("b").count() == 7 and hand.manifest("b")["rows"] == 7
+
+
+def test_two_labels_of_one_entity_still_give_one_row_a_day(spark, raw):
+    twice = raw.where("location = 'Land 3'").withColumn("location", F.lit("Other"))
+    source, out = io.write(raw.unionByName(twice), fresh_path(spark, "t"), "csv"), fresh_path(spark, "t")
+    assert run_stages(spark, source, out, Settings(distance=5, least=2)).exit_code == 0
+    assert spark.read.parquet(f"{out}/fact").count() == 14 * 90
+
+
 def test_bucket_counts_stay_under_the_engine_limit(spark):
     from tidemark.plans.warehouse import MOST_BUCKETS, bucket_count
 

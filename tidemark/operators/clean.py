@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import exprs as E
 from tidemark.operators.panel import carried, one_row_per_key, rolling_mean, row_mean
+from tidemark.sources.shared import materialise
 from tidemark.spec import AGGREGATE_PREFIX, COUNT_COLUMNS, EPIDEMIC, PanelSpec
 
+FEW = 2_000_000  # repeated keys whose hashes are broadcast: 16 MB
+
 
 def drop_aggregate_rows(
     panel: DataFrame, prefix: str = AGGREGATE_PREFIX, spec: PanelSpec = EPIDEMIC
@@ -101,6 +104,27 @@ def _group_key(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     return panel.withColumn("_series", F.coalesce(F.col(spec.label), own))
 
 
+def settle_duplicates(panel: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, as ``one_row_per_key``, without moving rows whose key is alone.
+
+    Repeated keys are found first, by a pass that keeps keys only. If they are few (at most ``FEW``
+    hashes of 8 bytes) these go to the rows, and only the rows they meet are looked at again; the
+    hash may let another key in, which does no harm there. Otherwise all rows are settled as one.
+    """
+    hashed = F.xxhash64(*[F.col(k) for k in keys])
+    again = panel.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = materialise(again.select(hashed.alias("_again")).distinct())
+    found = again.count()
+    if not found:
+        return panel
+    if found > FEW:
+        return one_row_per_key(panel, keys)
+    marked = panel.withColumn("_again", hashed)
+    alone = marked.join(F.broadcast(again), "_again", "left_anti").drop("_again")
+    twice = marked.join(F.broadcast(again), "_again", "left_semi").drop("_again")
+    return alone.unionByName(one_row_per_key(twice, keys))
+
+
 def clean(
     raw: DataFrame, spec: PanelSpec = EPIDEMIC, unique: bool = False,
     whole: tuple[str, ...] = COUNT_COLUMNS, partitions: int | None = None,
@@ -108,7 +132,7 @@ def clean(
     """All cleaning steps in order.
 
     The result has one row per (label, date), as the tables it feeds require; ``unique=True``
-    declares that the input already does and saves that step's shuffle. The fill and both rolling
+    declares that the input already does and saves that step's search for repeated keys. The fill and both rolling
     means are one window pass over one shuffle. ``partitions`` fixes that shuffle's width; without
     it the width is chosen at run time from the data's size.
     """
@@ -117,7 +141,7 @@ def clean(
     panel = cast_numeric(panel, spec.numeric, whole)
     panel = _group_key(panel, spec)
     if not unique:
-        panel = one_row_per_key(panel, ["_series", spec.date])
+        panel = settle_duplicates(panel, ["_series", spec.date])
     if partitions:
         panel = panel.repartition(partitions, "_series")
     panel = zero_fill(panel, spec.daily)

@@ -17,6 +17,7 @@ from tidemark.operators.panel import by_date, day_number, lagged, latest_row, la
 from tidemark.operators.ranks import top_rows, with_rank, with_ranks
 from tidemark.operators.stats import correlation_test, min_max, ols_trend, quantile_trim
 from tidemark.operators.waves import detect_peaks, label_waves
+from tidemark.operators.windows import over_windows
 from tidemark.sources.shared import materialise
 from tidemark.spec import BENCHMARK_LABELS, EPIDEMIC, PanelSpec
 
@@ -96,6 +97,18 @@ def metric_series(
     ).orderBy(spec.date)
 
 
+def _window_table(series: DataFrame, windows, name: str, kind: str) -> DataFrame:
+    """Windows given as rows or as a table, with dates as dates."""
+    if not isinstance(windows, DataFrame):
+        windows = series.sparkSession.createDataFrame(
+            list(windows), f"{name} {kind}, start_date string, end_date string"
+        )
+    return windows.select(
+        name, F.col("start_date").cast("date").alias("start_date"),
+        F.col("end_date").cast("date").alias("end_date"),
+    )
+
+
 def wave_extent(
     series: DataFrame, fallback=WAVE_REGIONS, spec: PanelSpec = EPIDEMIC
 ) -> DataFrame:
@@ -104,32 +117,25 @@ def wave_extent(
         return series.where(F.col("wave_number").isNotNull()).groupBy("wave_number").agg(
             F.min(spec.date).alias("start_date"), F.max(spec.date).alias("end_date")
         ).orderBy("wave_number")
-    rows = series.sparkSession.createDataFrame(
-        list(fallback), "wave_number int, start_date string, end_date string"
-    )
-    return rows.select(
-        "wave_number", F.to_date("start_date").alias("start_date"),
-        F.to_date("end_date").alias("end_date"),
-    )
+    return _window_table(series, fallback, "wave_number", "int")
 
 
 def peak_in_window(
     series: DataFrame, metric: str, windows=PEAK_WINDOWS, spec: PanelSpec = EPIDEMIC
 ) -> DataFrame:
-    """Date and value of the maximum within each named date window, earliest of equals."""
-    day = F.col(spec.date)
-    hits = F.array_compact(F.array(*[
-        F.when(day.between(F.to_date(F.lit(a)), F.to_date(F.lit(b))), F.lit(name))
-        for name, a, b in windows
-    ]))
-    rows = series.where(F.col(metric).isNotNull()).select(
-        F.explode(hits).alias("window_name"), day.alias("_d"), F.col(metric).alias("_v")
-    )
-    best = rows.groupBy("window_name").agg(
-        F.max(F.struct("_v", (-day_number("_d")).alias("_early"), "_d")).alias("m")
-    )
-    return best.select(
-        "window_name", F.col("m._d").alias("peak_date"), F.col("m._v").alias("peak_value")
+    """Date and value of the maximum within each named date window, earliest of equals.
+
+    ``windows`` are rows (name, first, last date) or a table of any size with the columns
+    window_name, start_date and end_date; windows of one name count as one.
+    """
+    table = _window_table(series, windows, "window_name", "string")
+    highest = F.max(F.struct(
+        F.col(metric).alias("v"), (-day_number(spec.date)).alias("early"), F.col(spec.date).alias("d")
+    ))
+    known = series.where(F.col(metric).isNotNull())
+    best = over_windows(known, table, {"m": highest}, {"m": F.max}, date=spec.date)
+    return best.groupBy("window_name").agg(F.max("m").alias("m")).select(
+        "window_name", F.col("m.d").alias("peak_date"), F.col("m.v").alias("peak_value")
     )
 
 

@@ -20,6 +20,37 @@ def percent(col: str, digits: int = 4):
     return E.rnd(F.col(col) * 100, digits)
 
 
+#: What the latest-row views read: figures of the whole last row, and the last known coverage.
+_LATEST = (
+    "total_cases", "total_deaths", "total_vaccinations", "people_fully_vaccinated",
+    "total_cases_per_million", "total_deaths_per_million", "case_fatality_rate", "vaccination_rate",
+    "mortality_rate_per_million", "rolling_7day_cases", "rolling_7day_deaths",
+)
+
+
+def snapshot(fact: DataFrame, spec: PanelSpec = EPIDEMIC) -> DataFrame:
+    """One row per entity that feeds every latest-row view: one aggregation over the fact."""
+    covered = F.when(F.col("vaccination_rate").isNotNull(), F.col(spec.date))
+    return fact.groupBy(spec.entity).agg(
+        F.max(spec.date).alias(spec.date), *[F.max_by(c, spec.date).alias(c) for c in _LATEST],
+        F.max_by("vaccination_rate", covered).alias("known_vaccination_rate"),
+    )
+
+
+def rollup(fact: DataFrame, spec: PanelSpec = EPIDEMIC) -> DataFrame:
+    """One row per entity, month and wave that feeds the monthly and the wave view."""
+    counted = F.col("new_cases").isNotNull()
+    return fact.groupBy(spec.entity, "year", "month", "wave_number").agg(
+        F.min("date").alias("first"), F.max("date").alias("last"),
+        F.min(F.when(counted, F.col("date"))).alias("first_counted"),
+        F.max("new_cases_smoothed").alias("peak"),
+        F.sum("new_cases").alias("cases"), F.sum("new_deaths").alias("deaths"),
+        F.sum(F.when(counted, F.col("new_deaths"))).alias("counted_deaths"),
+        F.sum(F.when(counted, F.col("rolling_7day_cases"))).alias("rolling"),
+        F.count(F.when(counted, F.col("rolling_7day_cases"))).alias("rolling_rows"),
+    )
+
+
 def global_daily_trend(fact: DataFrame) -> DataFrame:
     return fact.groupBy("date").agg(
         F.sum("new_cases").alias("global_new_cases"),
@@ -31,9 +62,14 @@ def global_daily_trend(fact: DataFrame) -> DataFrame:
     ).orderBy("date")
 
 
-def continental_summary(fact: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC) -> DataFrame:
+def continental_summary(
+    fact: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC, current: DataFrame | None = None
+) -> DataFrame:
+    """``current`` is a stored ``snapshot``, here and below; without it the fact is reduced anew."""
     columns = ["total_cases", "total_deaths", "people_fully_vaccinated", "vaccination_rate"]
-    current = latest_row(fact, spec, columns)
+    if current is None:
+        current = latest_row(fact, spec, columns)
+    current = current.select(spec.entity, *columns)
     known = dim.where(F.col(spec.group).isNotNull())
     cases, deaths, people = F.sum("total_cases"), F.sum("total_deaths"), F.sum("population")
     return current.join(known, spec.entity).groupBy(spec.group).agg(
@@ -48,14 +84,18 @@ def continental_summary(fact: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDE
     ).orderBy(F.desc_nulls_last("total_cases"))
 
 
-def country_latest(fact: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC) -> DataFrame:
+def country_latest(
+    fact: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC, current: DataFrame | None = None
+) -> DataFrame:
     columns = [
         spec.date, "total_cases", "total_deaths", "total_vaccinations", "people_fully_vaccinated",
         "total_cases_per_million", "total_deaths_per_million", "case_fatality_rate",
         "vaccination_rate", "mortality_rate_per_million", "rolling_7day_cases",
         "rolling_7day_deaths",
     ]
-    return latest_row(fact, spec, columns).join(dim, spec.entity).select(
+    if current is None:
+        current = latest_row(fact, spec, columns)
+    return current.select(spec.entity, *columns).join(dim, spec.entity).select(
         "iso_code", "location", "continent", "population", "gdp_per_capita", "median_age",
         "human_development_index", F.col(spec.date).alias("latest_date"),
         "total_cases", "total_deaths", "total_vaccinations", "people_fully_vaccinated",
@@ -82,28 +122,36 @@ def entity_timeline(
     ).orderBy("date")
 
 
-def monthly_by_group(fact: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC) -> DataFrame:
+def monthly_by_group(
+    fact: DataFrame, dim: DataFrame, spec: PanelSpec = EPIDEMIC, months: DataFrame | None = None
+) -> DataFrame:
+    """``months`` is a stored ``rollup``, here and below; without it the fact is reduced anew.
+
+    Either way rows are reduced per entity before they meet the dimension.
+    """
     known = dim.where(F.col(spec.group).isNotNull()).select(spec.entity, spec.group)
-    rows = fact.where(F.col("new_cases").isNotNull()).join(known, spec.entity)
-    return rows.groupBy("year", "month", spec.group).agg(
-        E.month_label(F.min("date")).alias("month_label"),
-        F.sum("new_cases").alias("monthly_new_cases"),
-        F.sum("new_deaths").alias("monthly_new_deaths"),
-        E.rnd(F.avg("rolling_7day_cases"), 0).alias("avg_7day_cases"),
+    months = (rollup(fact, spec) if months is None else months).where("first_counted is not null")
+    return months.join(known, spec.entity).groupBy("year", "month", spec.group).agg(
+        E.month_label(F.min("first_counted")).alias("month_label"),
+        F.sum("cases").alias("monthly_new_cases"),
+        F.sum("counted_deaths").alias("monthly_new_deaths"),
+        E.rnd(F.try_divide(F.sum("rolling"), F.sum("rolling_rows")), 0).alias("avg_7day_cases"),
     ).orderBy("year", "month", spec.group)
 
 
 def coverage_progress(
     fact: DataFrame, dim: DataFrame, top_n: int = 20, literal: bool = False,
-    spec: PanelSpec = EPIDEMIC,
+    spec: PanelSpec = EPIDEMIC, current: DataFrame | None = None,
 ) -> DataFrame:
     """Series of the top entities: by latest rate, or with ``literal`` by code order."""
     covered = fact.where(F.col("vaccination_rate").isNotNull())
-    if literal:
-        chosen = top_rows(covered.select(spec.entity).distinct(), [(spec.entity, "asc")], top_n)
-    else:
-        order = [("vaccination_rate", "desc"), (spec.entity, "asc")]
-        chosen = top_rows(latest_row(covered, spec, ["vaccination_rate"]), order, top_n)
+    if current is None:
+        current = latest_row(covered, spec, ["vaccination_rate"]).withColumnRenamed(
+            "vaccination_rate", "known_vaccination_rate"
+        )
+    known = current.where("known_vaccination_rate is not null")
+    order = [] if literal else [("known_vaccination_rate", "desc")]
+    chosen = top_rows(known, [*order, (spec.entity, "asc")], top_n)
     chosen = F.broadcast(chosen.select(spec.entity))  # top_n rows
     return covered.join(chosen, spec.entity, "left_semi").join(
         dim.select(spec.entity, spec.label), spec.entity
@@ -119,12 +167,15 @@ def scaled_between(column: str, low, high):
 
 
 def high_risk(
-    fact: DataFrame, dim: DataFrame, min_pop: int = 1_000_000, spec: PanelSpec = EPIDEMIC
+    fact: DataFrame, dim: DataFrame, min_pop: int = 1_000_000, spec: PanelSpec = EPIDEMIC,
+    current: DataFrame | None = None,
 ) -> DataFrame:
     """Min-max over every entity first, population filter next, rank last."""
     parts = ["total_cases_per_million", "mortality_rate_per_million", "vaccination_rate"]
-    current = latest_row(fact, spec, [*parts, "case_fatality_rate"]).dropna(subset=parts)
-    current = materialise(current)
+    columns = [*parts, "case_fatality_rate"]
+    if current is None:
+        current = materialise(latest_row(fact, spec, columns))
+    current = current.select(spec.entity, *columns).dropna(subset=parts)
     span = scalars(
         current,
         **{f"lo_{c}": F.min(c) for c in parts}, **{f"hi_{c}": F.max(c) for c in parts},
@@ -146,16 +197,17 @@ def high_risk(
 
 
 def wave_summary(
-    fact: DataFrame, dim: DataFrame, min_pop: int = 1_000_000, spec: PanelSpec = EPIDEMIC
+    fact: DataFrame, dim: DataFrame, min_pop: int = 1_000_000, spec: PanelSpec = EPIDEMIC,
+    months: DataFrame | None = None,
 ) -> DataFrame:
     """Extent, peak and totals of each entity's waves.
 
     Reduced per (entity, wave) before the dimension join, then once more by label.
     """
-    waves = fact.where(F.col("wave_number") > 0).groupBy(spec.entity, "wave_number").agg(
-        F.min("date").alias("a"), F.max("date").alias("b"),
-        F.max("new_cases_smoothed").alias("peak"),
-        F.sum("new_cases").alias("cases"), F.sum("new_deaths").alias("deaths"),
+    months = rollup(fact, spec) if months is None else months
+    waves = months.where(F.col("wave_number") > 0).groupBy(spec.entity, "wave_number").agg(
+        F.min("first").alias("a"), F.max("last").alias("b"), F.max("peak").alias("peak"),
+        F.sum("cases").alias("cases"), F.sum("deaths").alias("deaths"),
     )
     big = dim.where(F.col("population") >= min_pop)
     return waves.join(big, spec.entity).groupBy(spec.label, spec.group, "wave_number").agg(

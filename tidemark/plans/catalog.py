@@ -12,6 +12,7 @@ from tidemark.operators import star, stats as S, views as V, waves
 from tidemark.operators.panel import (
     fill_forward, latest_row, latest_values, nearest_date, rolling_mean,
 )
+from tidemark.operators.windows import over_windows
 from tidemark.plans.derived import as_text
 from tidemark.plans.stages import Settings, run_stages, view_builders
 from tidemark.plans.warehouse import Warehouse, open_warehouse
@@ -69,8 +70,8 @@ def stable(df: DataFrame, keep: tuple[str, ...] = ("p_value",)) -> DataFrame:
     """
     def settled(name: str) -> Column:
         scaled = F.col(name) * 1e6 + 0.5
-        whole = F.when(F.abs(scaled) < 2.0**52, F.floor(scaled).cast("double")).otherwise(scaled)
-        return (whole / 1e6).alias(name)
+        whole = F.floor(scaled).cast("double") / 1e6
+        return F.when(F.abs(scaled) < 2.0**52, whole).otherwise(F.col(name)).alias(name)
 
     return df.select(*[
         settled(f.name) if f.dataType.typeName() == "double" and f.name not in keep
@@ -149,7 +150,7 @@ def _(w):
     early = w.fact.where(F.col("date") < SINCE).select(*columns)
     io.insert_new(early, target, ["iso_code", "date"])
     io.insert_new(w.fact.select(*columns), target, ["iso_code", "date"])
-    return spark.read.parquet(target)
+    return io.read_inserted(spark, target)
 
 
 @query("reload")
@@ -180,6 +181,54 @@ def _(w):
     return _counts(spark, out, [n for n, s in status.items() if s == "ok"], "csv")
 
 
+#: The exported views: the columns that name a row, and those whose figures are compared.
+EXPORT_CELLS = {
+    "v_global_daily_trend": (("date",), (
+        "global_new_cases", "global_new_deaths", "avg_smoothed_cases", "avg_smoothed_deaths",
+        "avg_reproduction_rate", "avg_stringency_index")),
+    "v_continental_summary": (("continent",), (
+        "country_count", "total_cases", "total_deaths", "total_population", "cases_per_million",
+        "deaths_per_million", "cfr_pct", "avg_vaccination_rate_pct")),
+    "v_country_latest": (("iso_code", "latest_date"), (
+        "population", "gdp_per_capita", "total_cases", "total_deaths", "total_vaccinations",
+        "people_fully_vaccinated", "total_cases_per_million", "cfr_pct", "vaccination_rate_pct",
+        "mortality_rate_per_million", "rolling_7day_cases", "rolling_7day_deaths")),
+    "v_entity_timeline": (("date", "month_name"), (
+        "new_cases", "new_deaths", "new_cases_smoothed", "total_cases", "vaccination_rate_pct",
+        "cfr_pct", "rolling_7day_cases", "rolling_14day_cases", "wave_number", "reproduction_rate",
+        "quarter")),
+    "v_monthly_by_group": (("year", "month", "continent", "month_label"), (
+        "monthly_new_cases", "monthly_new_deaths", "avg_7day_cases")),
+    "v_coverage_progress": (("iso_code", "location", "date"), (
+        "vaccination_rate_pct", "people_fully_vaccinated")),
+    "v_high_risk": (("location", "continent"), (
+        "risk_rank", "population", "cases_per_million", "deaths_per_million",
+        "vaccination_rate_pct", "cfr_pct", "composite_risk_score")),
+    "v_wave_summary": (("location", "continent", "wave_number", "wave_start", "wave_end"), (
+        "wave_duration_days", "peak_smoothed_daily_cases", "total_new_cases_in_wave",
+        "total_new_deaths_in_wave", "wave_cfr_pct")),
+}
+
+
+@query("export_contents")
+def _(w):
+    """The figures of the exported files, read back from their text: view, row, cell and value."""
+    spark = w.tables.spark
+    out = fresh_path(spark, "exports")
+    status = io.export_views(view_builders(w.fact, w.entities, w.dates, FOCUS, MIN_POP), out)
+    cells = None
+    for name, (keys, numbers) in EXPORT_CELLS.items():
+        if status[name] != "ok":
+            raise RuntimeError(status[name])
+        text = spark.read.option("header", True).csv(f"{out}/{name}")
+        part = text.select(
+            F.lit(name).alias("view"), F.concat_ws("|", *keys).alias("row"),
+            *[F.col(c).cast("double").alias(c) for c in numbers],
+        ).unpivot(["view", "row"], list(numbers), "cell", "value").where("value is not null")
+        cells = part if cells is None else cells.unionByName(part)
+    return cells
+
+
 _runs: dict[tuple[str, str], tuple[str, list[str]]] = {}
 
 
@@ -449,9 +498,24 @@ def _(w):
     """The fixed windows that a series without labels gets, with the focus's cases in each."""
     series = w.fact.where(F.col("iso_code") == FOCUS).select("date", "new_cases")
     bands = G.wave_extent(series, WAVE_BANDS)
-    inside = F.col("date").between(F.col("start_date"), F.col("end_date"))
-    return bands.join(series, inside, "left").groupBy("wave_number", "start_date", "end_date").agg(
-        F.sum("new_cases").alias("cases")
+    return over_windows(series, bands, {"cases": F.sum("new_cases")}, {"cases": F.sum})
+
+
+@query("quarter_windows")
+def _(w):
+    """Cases and peak of every entity in every window of 92 days that starts with a month."""
+    windows = w.fact.where(F.dayofmonth("date") == 1).select(
+        "iso_code", F.col("date").alias("start_date"), F.date_add("date", 91).alias("end_date")
+    )
+    series = w.fact.select("iso_code", "date", "new_cases").where("new_cases is not null")
+    peak = F.max(F.struct(F.col("new_cases").alias("v"), (-F.unix_date("date")).alias("e")))
+    found = over_windows(
+        series, windows, {"cases": F.sum("new_cases"), "peak": peak},
+        {"cases": F.sum, "peak": F.max}, by=("iso_code",),
+    )
+    return found.select(
+        "iso_code", "start_date", "end_date", "cases", F.col("peak.v").alias("peak_value"),
+        F.date_from_unix_date(-F.col("peak.e")).alias("peak_date"),
     )
 
 

@@ -21,7 +21,10 @@ def rnd(expr: str, digits: int) -> str:
 
 
 def d6(expr: str, name: str | None = None) -> str:
-    return f"floor(CAST({expr} AS DOUBLE) * 1e6 + 0.5) / 1e6 AS {name or expr}"
+    value = dbl(expr)
+    scaled = f"({value} * 1e6 + 0.5)"
+    whole = f"floor({scaled}) / 1e6"
+    return f"CASE WHEN abs({scaled}) < 4503599627370496 THEN {whole} ELSE {value} END AS {name or expr}"
 
 
 def big(expr: str, name: str) -> str:
@@ -844,6 +847,13 @@ Q["wave_extent_unlabelled"] = " UNION ALL ".join(
   WHERE iso_code = '{K.FOCUS}' AND date BETWEEN DATE '{a}' AND DATE '{b}'"""
     for n, a, b in K.WAVE_BANDS
 )
+Q["quarter_windows"] = """
+SELECT iso_code, a AS start_date, b AS end_date, CAST(sum(new_cases) AS BIGINT) AS cases,
+       max(new_cases) AS peak_value, arg_max(date, (new_cases, -date_diff('day', DATE '1970-01-01', date)))
+         AS peak_date
+FROM (SELECT iso_code, date AS a, date + 91 AS b FROM daily WHERE day(date) = 1) w
+JOIN daily USING (iso_code)
+WHERE date BETWEEN a AND b AND new_cases IS NOT NULL GROUP BY iso_code, a, b"""
 Q["peak_in_window"] = " UNION ALL ".join(
     f"""(SELECT '{name}' AS window_name, date AS peak_date, new_cases AS peak_value FROM daily
   WHERE iso_code = '{K.FOCUS}' AND date BETWEEN DATE '{a}' AND DATE '{b}'
@@ -1068,6 +1078,21 @@ _EXPORTED = (
     "v_monthly_by_group", "v_coverage_progress", "v_high_risk", "v_wave_summary",
 )
 Q["export_views"] = _named_counts({name: Q[name] for name in _EXPORTED})
+
+
+
+def _cells(name: str) -> str:
+    """The figures of a view as (view, row, cell, value)."""
+    keys, numbers = K.EXPORT_CELLS[name]
+    row = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    cells = ", ".join(f"{{'cell': '{c}', 'value': CAST({c} AS DOUBLE)}}" for c in numbers)
+    return f"""
+SELECT '{name}' AS view, row, u.cell AS cell, {d6('u.value', 'value')}
+FROM (SELECT concat_ws('|', {row}) AS row, unnest([{cells}]) AS u FROM ({Q[name]}))
+WHERE u.value IS NOT NULL"""
+
+
+Q["export_contents"] = " UNION ALL ".join(_cells(name) for name in _EXPORTED)
 Q["full_run_risk"], Q["full_run_waves"] = Q["risk_scores"], Q["v_wave_summary"]
 Q["full_run"] = _named_counts({
     "panel": "SELECT 1 FROM panel", "staging": "SELECT 1 FROM panel",
