@@ -2,8 +2,8 @@
 
 1. language: documents without letters, or of whose n-grams fewer than ``LEAST_SCORE`` belong to any
    learned language, go.
-2. near_dedup: texts link at a Jaccard similarity of 0.8 or more of their 5-word shingles; of every
-   linked group the smallest id stays; of rows that share it, one.
+2. near_dedup: fingerprints of 3-word shingles link at two differing bits or fewer; of every linked
+   group the row with the smallest id stays (NULL after all others); of rows that share it, one.
 3. repeats: lines and sentences that an earlier document holds are cut from the texts.
 4. personal_data: spans are replaced by their kind in brackets.
 5. packing: pieces of token sequences along the Hilbert curve.
@@ -18,11 +18,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language, lines, near, packing, pii
+from tidemark.llm import language, lines, packing, pii, simhash
 from tidemark.llm.arrow import free_name, named
 from tidemark.llm.graph import stored
 from tidemark.sources.shared import fresh_path
 
+#: Rows of two longs: about 16 MB when broadcast.
+FEW = 1_000_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 LEAST_SCORE = 0.2
@@ -34,6 +37,12 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _without(docs: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """``docs`` but for the stored keys; few keys go to the texts, many meet them in a shuffle."""
+    few = gone.count() <= FEW
+    return docs.join(F.broadcast(gone) if few else gone, keys, "left_anti")
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fit(docs)
     lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
@@ -43,22 +52,33 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    tag = free_name(docs, "_tag")
-    # Written once: computed again, the tags could name other rows.
-    tagged = stored(docs.withColumn(tag, F.monotonically_increasing_id()), "tagged")
-    prints = stored(near.sketches(tagged, ["doc_id", tag]), "prints")
-    groups = near.classes(prints, tagged, tag).toDF("at", "root")
-    member = prints.join(groups, prints["node"] == groups["at"], "left").select(
-        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), tag,
-        F.coalesce("root", "node").alias("component"),
+    """Rows are told apart by id and text, so no text is copied or moved but that of dropped rows."""
+    key, hashed = free_name(docs, "_key"), free_name(docs, "_hash")
+    marked = docs.withColumn(key, F.coalesce("doc_id", F.lit(0))).withColumn(
+        hashed, F.xxhash64("text", F.col("doc_id").isNull())
     )
-    member = stored(member, "members")
-    first = member.groupBy("component").agg(
-        F.min_by(tag, F.struct("id", tag)).alias("stays"), F.count("*").alias("n")
-    ).where("n > 1")
-    copies = member.join(first, "component").where(F.col(tag) != F.col("stays")).select(tag)
-    dropped = stored(copies, "copies")
-    return tagged.join(dropped, tag, "left_anti").select(*map(named, docs.columns))
+    prints = stored(simhash.fingerprints(marked, ["doc_id", key, hashed]), "prints")
+    order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), key, hashed)
+    # Copies collapse before anything is joined, so groups of any size are one row here.
+    texts = stored(prints.groupBy("fingerprint", key, hashed).agg(
+        F.min(order).alias("own"), F.count("*").alias("n")
+    ), "texts")
+    # Ids may repeat, so a component is named by its smallest fingerprint.
+    groups = simhash.classes(prints, "fingerprint")
+    firsts = texts.groupBy("fingerprint").agg(F.min("own").alias("first"))
+    chosen = firsts.join(groups, F.col("fingerprint") == F.col("fp")).groupBy("component").agg(
+        F.min("first").alias("first")
+    ).select(F.col("first")[key].alias(key), F.col("first")[hashed].alias(hashed))
+    stays = stored(texts.select(key, hashed, "n").join(chosen, [key, hashed], "left_semi"), "stays")
+    single = stays.where("n = 1").select(key, hashed)
+    gone = texts.select(key, hashed).join(single, [key, hashed], "left_anti")
+    repeated = stays.where("n > 1").select(key, hashed)
+    rest = _without(marked, stored(gone, "gone"), [key, hashed])
+    if not repeated.isEmpty():
+        rest = rest.unionByName(
+            marked.join(repeated, [key, hashed], "left_semi").dropDuplicates([key, hashed])
+        )
+    return rest.select(*map(named, docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
