@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -77,6 +78,37 @@ def test_edges(spark, documents):
     assert pii.report(documents([])).count() == 0
 
 
+def test_identifiers_and_words_of_any_length_are_found(spark, documents):
+    rows = [(i, f"contact: user{i}@example{i}.com and more") for i in range(150)]
+    long_local, cue = "z" * 70 + "@localhost", "c" * 90 + ":"
+    rows += [(200, f"contact: {long_local} now"), (201, "contact: bob@" + "h" * 100 + " now")]
+    rows += [(500, f"{cue} " + "1-" * 40 + "1 now")]
+    rows += [(600 + i, f"{cue} +1 (017) 555-{i:04d} x") for i in range(150)]
+    spans = {r["doc_id"]: r["spans"] for r in pii.report(documents(rows)).collect()}
+    assert spans[200] == f"email:9:{9 + len(long_local)}" and spans[201] == "email:9:113"
+    assert spans[500] == f"phone:{len(cue) + 1}:{len(cue) + 82}"
+
+
+def test_equal_scores_take_the_first_kind(spark):
+    # Every pattern holds as many emails as phones: no kind is confident; then two patterns tie.
+    rows = [("p", f"a{i}@b.co") for i in range(10)] + [("q", f"+1 555 000 {i:04d}") for i in range(10)]
+    rows += [("r", f"c{i}@b.co") for i in range(10)] + [("s", f"+1 555 001 {i:04d}") for i in range(10)]
+    rows += [(p, "x@y") for p in "pqrs"]
+    occurrences = spark.createDataFrame(rows, "pattern string, word string")
+    for _ in range(3):
+        found = pii.discover(occurrences.repartition(5), confident=0.8, accepted=0.5).collect()
+        assert [(r["word"], r["kind"]) for r in found] == [("x@y", 0)]
+
+
+def test_many_matches_in_one_text_take_little_time(spark, documents):
+    text = " ".join(f"user{i}@example.com é" for i in range(30_000))
+    started = time.perf_counter()
+    row = pii.report(documents([(1, text)])).first()
+    masked = pii.redact(documents([(1, text)])).first()["text"]
+    assert row["n_email"] == 30_000 and masked == " ".join(["[EMAIL] é"] * 30_000)
+    assert time.perf_counter() - started < 60
+
+
 def test_very_long_texts_do_not_backtrack(documents):
     n = 200_000
     rows = [(1, "x" * n), (2, "1" * n), (3, "1 " * n), (4, "a." * n + "@b.c"), (5, "+1 " * n)]

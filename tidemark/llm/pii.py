@@ -3,18 +3,23 @@
 Built-in column functions only. The fixed patterns (email, ip, card, phone) give the base spans;
 ``regexp_extract_all`` has the matches, ``split`` the text between them, and their lengths the
 offsets. The patterns are written so that no text makes them backtrack: a run is entered at its
-first character or where the last match ended, and repeats are possessive.
+first character or where the last match ended, and repeats are possessive. Offsets are running sums
+over a text's matches; they are built in pieces of the root of their number, as is the masked text,
+so a text of very many matches costs little more than one of few.
 
 Bootstrapping starts from the base matches. An *instance* is a word that looks like an identifier
 (an @ or five digits) or a base span written with blanks, a *pattern* the word before it. A pattern's confidence is the score of its
 instances over their number, for its best kind; an instance's score joins the confidences of its
 patterns (one minus the product of their doubts). Seeds have score 1. Patterns need ``SUPPORT``
 seeds and ``CONFIDENT`` confidence, new instances two different patterns and ``ACCEPTED``, or one of
-``SOLE_SUPPORT`` and ``SOLE_CONFIDENT``, and count as seeds do in the next round, until none is new. All occurrences of accepted instances become spans of their kind,
-unless they touch a base span.
-
-Defined cases: NULL texts are empty; repeated rows give equal results; texts are searched whole;
-offsets are characters (code points), ends exclusive; an empty table gives no rows.
+``SOLE_SUPPORT`` and ``SOLE_CONFIDENT``, and count as seeds do in the next round, until none is new.
+All occurrences of accepted instances become spans of their kind, unless they touch a base span. Words
+and identifiers may have any length.
+
+Defined cases: NULL texts are empty; repeated rows give equal results and NULL ids are kept; texts are
+searched whole; offsets are characters (code points), ends exclusive; of kinds with equal scores the
+first named counts; extra columns are left out of the report and kept by ``redact``; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -44,9 +49,11 @@ _HINTS = (
     "@", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"[0-9](?:[ -]?[0-9]){15}", r"\+[0-9]",
 )
 _SPAN = "struct<kind:int,start:int,stop:int,value:string>"
-# An identifier-like word after another word.
-_WORD = r"\S{0,40}@\S{1,60}|(?:[^\s0-9]{0,3}[0-9]){5,30}[^\s0-9]{0,8}"
-_CONTEXT = rf"(?<!\S)(\S{{1,40}})\s+(?=({_WORD})(?!\S))"
+_MATCH = "struct<kind:int,start:int,stop:int,value:string,gap:string>"
+# An identifier-like word after another word. Every repeat is possessive, so words of any length pass.
+_WORD = r"[^\s@]*+@\S++|(?:[^\s0-9]{0,3}[0-9]){5,}+[^\s0-9]{0,8}"
+_CONTEXT = rf"(?<!\S)(\S++)\s++(?=({_WORD})(?!\S))"
+_LAST_WORD = r"(?<!\S)(\S++)\s*+$"
 _CONTEXT_HINT = r"@|[0-9](?:[^\s0-9]{0,3}[0-9]){4}"
 
 
@@ -64,13 +71,34 @@ def _valid(kind: int, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _chunks(items: Column) -> Column:
+    """The array, a bound one, cut into arrays of about the root of its size."""
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items))).cast("int"))
+    count = F.ceil(F.size(items) / size).cast("int")
+    return F.transform(
+        F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.slice(items, (i - 1) * size + 1, size)
+    )
+
+
+def _total(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0), lambda s, n: s + n)
+
+
 def _placed(text: Column, pattern: str, kind: int, group: int = 0, after: bool = False) -> Column:
-    """All matches as spans; with ``after``, the spans of ``group`` right behind each match."""
-    none = F.array().cast(f"array<{_SPAN}>")
+    """All matches as spans, with the text between each and the one before it.
+
+    With ``after``, the spans are those of ``group`` right behind each match.
+    """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    parts = F.arrays_zip(
-        whole.alias("m"), value.alias("v"), F.split(text, pattern, -1).alias("gap")
+    parts = F.filter(
+        F.arrays_zip(whole.alias("m"), value.alias("v"), F.split(text, pattern, -1).alias("gap")),
+        lambda x: x["m"].isNotNull(),
     )
 
     def step(acc, x):
@@ -79,24 +107,41 @@ def _placed(text: Column, pattern: str, kind: int, group: int = 0, after: bool =
         start = end if after else begin
         span = F.struct(
             F.lit(kind).alias("kind"), start.alias("start"),
-            (start + F.length(x["v"])).alias("stop"), x["v"].alias("value"),
+            (start + F.length(x["v"])).alias("stop"), x["v"].alias("value"), x["gap"].alias("gap"),
         )
-        return F.when(x["m"].isNull(), acc).otherwise(F.struct(
-            end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out")
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    none = F.array().cast(f"array<{_MATCH}>")
+
+    def length(piece: Column) -> Column:
+        return F.aggregate(piece, F.lit(0), lambda s, x: s + F.length(x["gap"]) + F.length(x["m"]))
+
+    def spans(pieces: Column) -> Column:
+        """Each piece starts where the ones before it end."""
+        return _let(F.transform(pieces, length), lambda lengths: F.flatten(
+            F.transform(pieces, lambda piece, i: F.aggregate(
+                piece, F.struct(_total(F.slice(lengths, 1, i)).alias("at"), none.alias("out")),
+                step, lambda acc: acc["out"],
+            ))
         ))
 
-    return F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"]
-    )
+    return _let(parts, lambda bound: _let(_chunks(bound), spans))
 
 
-def _kind_spans(text: Column, kind: int) -> Column:
-    none = F.array().cast(f"array<{_SPAN}>")
+def _kind_matches(text: Column, kind: int) -> Column:
+    none = F.array().cast(f"array<{_MATCH}>")
     hint = text.contains("@") if kind == 0 else text.rlike(_HINTS[kind])
     spans = F.when(hint, _placed(text, _PATTERNS[kind], kind)).otherwise(none)
     return F.filter(spans, lambda s: _valid(kind, s["value"]))
 
 
+def _kind_spans(text: Column, kind: int) -> Column:
+    return F.transform(_kind_matches(text, kind), lambda s: F.struct(
+        s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"),
+        s["value"].alias("value"),
+    ))
+
+
 def base_spans(text: Column) -> Column:
     """array<struct<kind, start, stop, value>> by kind, then start."""
     return F.concat(*[_kind_spans(text, k) for k in range(len(KINDS))])
@@ -121,17 +166,15 @@ def contexts(docs: DataFrame) -> DataFrame:
         s["value"].alias("word"), s["start"].alias("start"), s["stop"].alias("stop"),
         _clean(x).alias("pattern"),
     ))))
-    # Cards and phones; a window before the span is enough for the word there.
+    # Cards and phones with blanks: the word before them ends the gap that they follow.
     spaced = F.filter(
-        F.concat(_kind_spans(text, 2), _kind_spans(text, 3)), lambda s: s["value"].contains(" ")
+        F.concat(_kind_matches(text, 2), _kind_matches(text, 3)), lambda s: s["value"].contains(" ")
     )
-    begin = F.greatest(F.col("start") - 64, F.lit(0))
-    before = F.substring(F.col("text"), begin + 1, F.col("start") - begin)
     spans = docs.where(text.rlike(_HINTS[2]) | text.rlike(_HINTS[3])).select(
-        "id", "hash", "text", F.inline(spaced)
+        "id", "hash", F.inline(spaced)
     ).select(
         "id", "hash", F.col("value").alias("word"), "start", "stop",
-        _clean(F.regexp_extract(before, r"(?<!\S)(\S{1,40})\s*$", 1)).alias("pattern"),
+        _clean(F.regexp_extract("gap", _LAST_WORD, 1)).alias("pattern"),
     )
     return rows.unionByName(spans).where(F.col("pattern") != "")
 
@@ -179,14 +222,15 @@ def discover(
         better = reached.where(
             ((F.col("patterns") >= 2) | F.col("sole")) & (F.col("score") >= accepted)
         )
-        chosen = better.groupBy("word").agg(
-            F.max_by("kind", "score").alias("kind"), F.max("score").alias("score")
-        )
+        # Of equal scores the kind named first.
+        first_best = F.max(F.struct("score", (-F.col("kind")).alias("kind")))
+        best_kind = [(-F.col("b.kind")).alias("kind"), F.col("b.score").alias("score")]
+        chosen = better.groupBy("word").agg(first_best.alias("b")).select("word", *best_kind)
         # What was accepted stays, so the rounds end.
         both = chosen.join(seeds.select("word"), "word", "left_anti").unionByName(new)
-        new = stored(both.groupBy("word").agg(
-            F.max_by("kind", "score").alias("kind"), F.max("score").alias("score")
-        ), "instances")
+        new = stored(
+            both.groupBy("word").agg(first_best.alias("b")).select("word", *best_kind), "instances"
+        )
         about = new.agg(F.count("*").alias("n"), F.sum("score").alias("s")).first()
         now = (about["n"], round(about["s"] or 0.0, 3))
         if now == seen:
@@ -245,23 +289,42 @@ def redact(docs: DataFrame, by: str = "doc_id", text: str = "text") -> DataFrame
     ))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def step(acc, x):
-        piece = F.concat(
-            F.substring(named(text), acc["at"] + 1, x["start"] - acc["at"]),
-            F.get(names, x["kind"]),
-        )
-        return F.struct(
-            F.greatest(acc["at"], x["stop"]).alias("at"),
-            F.when(x["start"] >= acc["at"], F.concat(acc["out"], piece)).otherwise(
-                acc["out"]
-            ).alias("out"),
-        )
-
-    rest = F.length(named(text))
-    masked = F.aggregate(
-        F.col(s), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda acc: F.concat(acc["out"], F.substring(named(text), acc["at"] + 1, rest)),
-    )
+    def masked_piece(part: Column, at: Column) -> Column:
+        """The text from ``at`` to the end of the piece's spans, cut out once and masked."""
+        stop = F.aggregate(part, at, lambda m, x: F.greatest(m, x["stop"]))
+        own = F.substring(named(text), at + 1, stop - at)  # held in the state: cut out once
+
+        def step(acc, x):
+            piece = F.concat(
+                F.substring(acc["own"], acc["at"] - acc["base"] + 1, x["start"] - acc["at"]),
+                F.get(names, x["kind"]),
+            )
+            return F.struct(
+                F.greatest(acc["at"], x["stop"]).alias("at"),
+                F.when(x["start"] >= acc["at"], F.concat(acc["out"], piece)).otherwise(
+                    acc["out"]
+                ).alias("out"), acc["own"].alias("own"), acc["base"].alias("base"),
+            )
+
+        begin = F.struct(at.alias("at"), F.lit("").alias("out"), own.alias("own"), at.alias("base"))
+        return F.aggregate(part, begin, step, lambda acc: acc["out"])
+
+    def last_stop(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda m, x: F.greatest(m, x["stop"]))
+
+    def masked_text(pieces: Column) -> Column:
+        def joined(stops: Column) -> Column:
+            done = F.transform(pieces, lambda part, i: _let(
+                F.aggregate(F.slice(stops, 1, i), F.lit(0), lambda m, x: F.greatest(m, x)),
+                lambda at: masked_piece(part, at),
+            ))
+            end = F.aggregate(stops, F.lit(0), lambda m, x: F.greatest(m, x))
+            rest = F.substring(named(text), end + 1, F.length(named(text)))
+            return F.concat(F.array_join(done, ""), rest)
+
+        return _let(F.transform(pieces, last_stop), joined)
+
+    masked = _let(F.col(s), lambda bound: _let(_chunks(bound), masked_text))
     return every.select(*[
         F.when(F.size(F.col(s)) > 0, masked).otherwise(named(c)).alias(c) if c == text
         else named(c) for c in docs.columns
