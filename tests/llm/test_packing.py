@@ -2,14 +2,14 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from tidemark.llm import packing
-from tidemark.llm.units import load_tokenizer
 
 
 @pytest.fixture(scope="module")
 def exact():
-    tokenizer = load_tokenizer(packing.vocabulary_path())
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())  # as the contract has it, no flags
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -55,7 +55,8 @@ def test_edges(spark, documents, exact):
         (1, None), (2, ""), (3, "One two, THREE!"), (3, "One two, THREE!"), (None, "no id"),
         (4, "word " * 9000), (5, "İstanbul ŒUVRE ǅ x\x1cy a\tb  c\r\nd \xa0e"), (6, "é Å Σς ΑΣ 漢字 😀"),
         (7, "it's don't 's ''s x's. 1234 5, --- <|endoftext|> a-b ...wow?!"), (8, "y" * 5000),
-        (9, "ªº ß ẞ ŉ ½ ² _x_ ,"),
+        (9, "ªº ß ẞ ŉ ½ ² _x_ ,"), (10, "a <|endoftext|> b<|startoftext|>C <|ENDOFTEXT|> <|endoftext|"),
+        (11, "<|endoftext|>"), (12, "e<|endoftext|>\u0301 <|endof\ntext|>"),
     ]
     check(rows, packing.report(documents(rows)).collect(), exact)
     assert packing.report(documents([])).count() == 0

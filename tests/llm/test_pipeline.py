@@ -1,11 +1,11 @@
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.test_lines import brute as line_brute
 from tests.llm.test_simhash import brute as groups_of, plain
 from tidemark.llm import packing, pii
-from tidemark.llm.units import load_tokenizer
 from tidemark.sources.shared import fresh_path
 
 FOLDER = "/root/testdata/sf0.001"
@@ -80,7 +80,7 @@ def test_personal_data_is_masked(spark, table):
 
 def test_all_tokens_are_packed(table):
     _, out = table
-    tokenizer = load_tokenizer(packing.vocabulary_path())
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
     want = {
         i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in pairs(out[3])
     }
@@ -94,6 +94,8 @@ def test_edges(spark, documents):
     text = "the dog and the cat are in the house with many other words of this kind, said he. "
     rows = [(i, f"{text} number {i} {i * 7}" * 3, "en") for i in range(12)]
     rows += [(20, None), (21, ""), (22, "123"), (23, rows[0][1]), (23, rows[0][1]), (None, text * 2)]
+    rows += [(25, None), (26, rows[0][1]), (26, rows[0][1] + " x" * 9), (27, text * 9), (27, text * 9)]
+    rows += [(24, "".join(f"{text} part {i} " for i in range(2500)))]
     docs = documents(rows).selectExpr("*", "1 as _tag", "0.5 as score", "'x' as lang_pred")
     out = stages(spark, docs)
     assert out[0].columns == docs.columns
@@ -102,3 +104,12 @@ def test_edges(spark, documents):
     assert np.unique([r["sequence_id"] for r in out[4].collect()]).size >= 1
     assert stages(spark, documents([]))[4].count() == 0
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+@pytest.mark.parametrize("few", [corpus_pipeline.FEW, 0])
+def test_rows_that_share_an_id_or_everything(spark, documents, monkeypatch, few):
+    monkeypatch.setattr(corpus_pipeline, "FEW", few)
+    a, b, c = ("one two three four", "five six seven eight", "nine ten eleven twelve")
+    rows = [(5, a), (5, b), (5, b), (9, a), (None, a), (None, c), (None, c), (7, c), (0, None), (None, None)]
+    out = corpus_pipeline.keep_one_of_each_group(spark, documents(rows), "")
+    assert sorted(pairs(out), key=str) == sorted([(5, a), (5, b), (7, c), (0, None)], key=str)

@@ -8,6 +8,8 @@ over ranges too, and each partition concatenates its documents and cuts the stre
 ids. What remains at a partition's end goes into sequences whose lengths are powers of two, which
 need no padding.
 
+Special strings of the vocabulary give their ids, as the library has it. Extra columns are left out.
+
 Defined cases: a NULL text is empty, and an empty document is its end id alone; documents longer
 than a sequence continue in the next; repeated rows and NULL ids are packed like others; texts are
 packed whole; an empty table gives no rows.
@@ -29,8 +31,9 @@ from tidemark.llm.units import as_characters, shared_encoder
 SIZE = 2048
 END = 1
 WIDE, DIMS, BITS = 256, 4, 8
-CACHED = 400_000
+CACHED = 150_000  # units, and as many pieces: about 50 MB in every Python worker
 _ODD = re.compile("[^\x00-˿]")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # no apostrophe: it may begin a piece of letters
 
 
 def vocabulary_path() -> str:
@@ -50,13 +53,18 @@ def _units(text: str) -> list[str]:
 
 
 def _pieces(unit: str) -> list[str] | None:
-    if _ODD.search(unit) or unit != unit.lower():
+    """A word, or a word and the marks behind it, which the tokenizer takes as one piece."""
+    if unit.isascii():
+        if not unit.islower():
+            return None
+    elif _ODD.search(unit) or unit != unit.lower():
+        return None
+    word = unit.rstrip(_MARKS)
+    if not word.isalpha():
         return None
-    if unit.isalpha():
-        return [as_characters(unit)]
-    if unit[-1:] in (".", ",", ";", ":", "!", "?") and unit[:-1].isalpha():
-        return [as_characters(unit[:-1]), unit[-1]]
-    return None
+    if len(word) == len(unit):
+        return [as_characters(word)]
+    return [as_characters(word), unit[len(word):]]
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -108,7 +116,7 @@ def tokenise(
     path = path or vocabulary_path()
 
     def make():
-        encoder = shared_encoder(path, "word", _units, _pieces, CACHED)
+        encoder = shared_encoder(path, "word", _units, _pieces, CACHED, special=True)
         end = np.array([END], encoder.dtype)
 
         def step(texts):
@@ -126,7 +134,8 @@ def tokenise(
         T.StructField("key", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("ids", T.BinaryType()),
     ]
-    return with_arrow(docs, [by], [named(text)], fields, make).withColumnRenamed(by, "id")
+    rows = docs.select(named(by).alias("id"), named(text).alias("text"))
+    return with_arrow(rows, ["id"], [F.col("text")], fields, make)
 
 
 _PIECES = (

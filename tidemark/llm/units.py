@@ -7,6 +7,9 @@ ids of its units in order. Words repeat, so most units are looked up instead of
 from __future__ import annotations
 
 import os
+import re
+import sys
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -15,15 +18,16 @@ import numpy as np
 WHITE = "\t-\r \x85\xa0  -     　"
 
 LONGEST_CACHED = 48  # characters; longer units are encoded anew each time
-MOST_CACHED = 250_000  # units and pieces (about 60 MB); the cache starts again when full
+MOST_CACHED = 125_000  # units, and as many pieces (about 60 MB); a cache starts again when full
 
 
-def load_tokenizer(path: str):
+def load_tokenizer(path: str, special: bool = False):
+    """With ``special``, special strings in a text become their ids; else they are ordinary text."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # special strings in a text are ordinary text
+    tokenizer.encode_special_tokens = not special
     return tokenizer
 
 
@@ -31,14 +35,18 @@ class UnitEncoder:
     """Ids of a text as little-endian unsigned integers (16 bit where the vocabulary allows).
 
     ``split`` cuts a text into units. ``pieces`` cuts a unit into the strings that the tokenizer's
-    model sees one by one, or returns None where only the whole tokenizer will do.
+    model sees one by one, or returns None where only the whole tokenizer will do. With ``special``,
+    special strings are cut out first, as the library does, and give their ids.
     """
 
     def __init__(
         self, path: str, split: Callable[[str], list[str]],
-        pieces: Callable[[str], list[str] | None], most: int = MOST_CACHED,
+        pieces: Callable[[str], list[str] | None], most: int = MOST_CACHED, special: bool = False,
     ):
         self.tokenizer = load_tokenizer(path)
+        marks = self.tokenizer.get_added_tokens_decoder() if special else {}
+        self.marks = {t.content: i for i, t in marks.items() if t.special}
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.marks)) + ")") if self.marks else None
         self.split, self.pieces, self.most = split, pieces, most
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
@@ -47,8 +55,12 @@ class UnitEncoder:
         self.parts: dict[str, bytes] = {}
 
     def _bytes(self, ids: list[int]) -> bytes:
-        width = self.dtype.itemsize
-        return b"".join([i.to_bytes(width, "little") for i in ids])
+        if len(ids) == 1:
+            return ids[0].to_bytes(self.dtype.itemsize, "little")
+        packed = array(self.dtype.char, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _unit(self, unit: str) -> bytes:
         pieces = self.pieces(unit)
@@ -65,10 +77,18 @@ class UnitEncoder:
         return b"".join(out)
 
     def ids(self, text: str) -> np.ndarray:
+        if not any(mark in text for mark in self.marks):
+            return self._plain(text)
+        return np.concatenate([
+            np.array([self.marks[part]], self.dtype) if part in self.marks else self._plain(part)
+            for part in self.cut.split(text) if part
+        ])
+
+    def _plain(self, text: str) -> np.ndarray:
         units = self.split(text)
-        if len(self.cache) + len(self.parts) > self.most:
-            self.cache.clear()
-            self.parts.clear()
+        for known in (self.cache, self.parts):
+            if len(known) > self.most:
+                known.clear()
         cache = self.cache
         out = list(map(cache.get, units))
         if None in out:
@@ -89,11 +109,11 @@ _encoders: dict[tuple[str, str], UnitEncoder] = {}
 
 def shared_encoder(
     path: str, kind: str, split: Callable[[str], list[str]],
-    pieces: Callable[[str], list[str] | None], most: int = MOST_CACHED,
+    pieces: Callable[[str], list[str] | None], most: int = MOST_CACHED, special: bool = False,
 ) -> UnitEncoder:
     """One encoder per Python worker, kept between its tasks."""
     if (path, kind) not in _encoders:
-        _encoders[path, kind] = UnitEncoder(path, split, pieces, most)
+        _encoders[path, kind] = UnitEncoder(path, split, pieces, most, special)
     return _encoders[path, kind]
 
 
