@@ -13,7 +13,8 @@ can share one, and they are chained instead of paired. Equal fingerprints are on
 
 Defined cases: texts that are NULL or hold no word have fingerprint zero and link like any other;
 with fewer than three words the whole sequence is the only shingle; rows with a NULL id get a
-fingerprint and component but never name one; repeated rows stay. Texts are hashed whole.
+fingerprint and component but never name one; repeated rows stay. Texts are hashed whole; an empty
+table gives no rows; extra columns are left out.
 """
 
 from __future__ import annotations
