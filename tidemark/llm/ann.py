@@ -5,20 +5,24 @@ padded to a power of two) and assigns each to the nearest signed axis. A query p
 table, the ``probes`` axes nearest to its own rotation. All vectors of those buckets are candidates,
 and their exact inner products on the original vectors decide.
 
-Buckets travel as blocks of vectors and meet blocks of queries (see ``grid``); inside a pair of
-blocks only the queries that probe the block's bucket are scored. So probes cost no copies of
-queries, and a bucket with any share of all vectors is just more blocks, spread over the columns.
-Tables and probes do not depend on the size of the data; every row is indexed.
+Rows and probes meet by an equi-join on table and bucket: a row is sent once a table, a query once a
+probe, so what moves grows with the rows. Both sides are packed into blocks inside each bucket. A
+bucket of more than ``BLOCKS_PER_TASK`` vector blocks, whatever its share of all rows, is dealt out
+over several tasks, and its queries go to each of them. The nearest of a query are kept per task and
+then per query. Tables, probes and the buckets' number do not depend on the size of the data; every
+row is indexed.
 
 Defined cases: rows without id and vectors that are NULL, zero or hold a NULL or non-finite
 component take no part; vectors of another length than the query's are not its candidates; every
 other row is a candidate of its own, repeated ids included, but for the query's own id; an id that
-is a query several times asks once, with its smallest vector. An empty table gives no rows; with
-fewer than k candidates found, all of them are returned.
+is a query several times asks once, with its smallest vector; extra columns are left out. An empty
+table gives no rows; with fewer than k candidates found, all of them are returned.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -31,6 +35,8 @@ TABLES = 8
 PROBES = 16
 ROUNDS = 3
 TILE = 512
+BLOCKS_PER_TASK = 16  # vector blocks of one bucket that meet its queries in one task
+HELD = 2_000_000  # entries of a task's queries before they are merged
 
 
 def _signs(dim: int, tables: int, seed: int) -> np.ndarray:
@@ -63,78 +69,100 @@ def rotated(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return np.concatenate([padded, -padded], axis=1)
 
 
-def index(rows: DataFrame, tables: int = TABLES, seed: int = 7) -> DataFrame:
-    """Every row once per table: dim, tag, id, vec, table and bucket."""
+def _hashed(rows: DataFrame, marks: list[str], tables: int, probes: int, seed: int) -> DataFrame:
+    """Every row once per table and probe: dim, tbl, bucket, ``marks`` (longs) and vec."""
+    names = ["dim", "tbl", "bucket", *marks, "vec"]
+
     def run(batches):
         for batch in slices(batches):
-            dims = batch.column(2).to_numpy()
+            dims = batch.column(0).to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                x = np.array(part.column(3).to_pylist(), np.float64).reshape(part.num_rows, dim)
+                x = np.array(part.column(part.num_columns - 1).to_pylist(), np.float64).reshape(-1, dim)
+                n = min(probes, 2 << max(0, int(dim) - 1).bit_length())
                 for t, signs in enumerate(_signs(int(dim), tables, seed)):
-                    bucket = rotated(x, signs).argmax(axis=1)
+                    axes = rotated(x, signs)
+                    best = axes.argmax(axis=1)[:, None] if n == 1 else np.argpartition(
+                        -axes, n - 1, axis=1
+                    )[:, :n]
+                    again = part.take(pa.array(np.repeat(np.arange(len(x)), n)))
                     yield pa.RecordBatch.from_arrays([
-                        *part.columns, pa.array(np.full(len(x), t, np.int32)),
-                        pa.array(bucket.astype(np.int32)),
-                    ], names=["tag", "id", "dim", "vec", "tbl", "bucket"])
+                        again.column(0), pa.array(np.full(len(x) * n, t, np.int32)),
+                        pa.array(best.ravel().astype(np.int32)), *again.columns[1:],
+                    ], names=names)
 
-    return rows.select("tag", "id", "dim", "vec").mapInArrow(
-        run, "tag long, id long, dim int, vec array<double>, tbl int, bucket int"
-    )
+    fields = "dim int, tbl int, bucket int, " + "".join(f"{m} long, " for m in marks)
+    return rows.select("dim", *marks, "vec").mapInArrow(run, f"{fields}vec array<double>")
 
 
-def with_probes(
-    packed: DataFrame, tables: int = TABLES, probes: int = PROBES, seed: int = 7
-) -> DataFrame:
-    """Query blocks and, per query and table, the buckets it probes, as packed 32-bit integers."""
-    def run(batches):
-        for batch in slices(batches, 1):
-            row = batch.to_pylist()[0]
-            q = grid.unpack(row["vec"], row["dim"])
-            best = []
-            for signs in _signs(row["dim"], tables, seed):
-                axes = rotated(q, signs)
-                n = min(probes, axes.shape[1])
-                best.append(np.argpartition(-axes, n - 1, axis=1)[:, :n])
-            asked = np.stack(best, axis=1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([asked.tobytes()], pa.binary())],
-                names=[*batch.schema.names, "probes"],
-            )
+def _dealt(hashed: DataFrame, marks: list[str], count: int) -> DataFrame:
+    """Blocks of rows that share a bucket; a large bucket's rows are packed in many tasks."""
+    columns = grid.columns_for(count, hashed.sparkSession)
+    split = math.ceil(columns / 64)  # about a block each, whatever the number of rows
+    near = hashed.repartition(
+        columns, "dim", "tbl", "bucket", F.pmod(F.xxhash64(*marks), F.lit(split))
+    ).sortWithinPartitions("dim", "tbl", "bucket")
+    return grid.pack(near, ["dim", "tbl", "bucket"], marks, grid.VECTORS_PER_BLOCK)
 
-    fields = ", ".join(f"{n} {t}" for n, t in packed.dtypes)
-    return packed.mapInArrow(run, f"{fields}, probes binary")
 
-
-def _nearest(k: int, tables: int):
+def _nearest(k: int):
+    """The k nearest of every query of a task, over all its pairs of blocks."""
     def run(batches):
+        held: list[tuple] = []
+
+        def settled():
+            ids, tags, mine, scores = (np.concatenate(c) for c in zip(*held))
+            # A vector met in several tables has the same score each time.
+            by = np.lexsort((tags, ids))
+            ids, tags, mine, scores = ids[by], tags[by], mine[by], scores[by]
+            once = np.ones(len(ids), bool)
+            once[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
+            ids, tags, mine, scores = ids[once], tags[once], mine[once], scores[once]
+            by = np.lexsort((mine, -scores, ids))
+            ids, tags, mine, scores = ids[by], tags[by], mine[by], scores[by]
+            first = np.arange(len(ids)) - np.searchsorted(ids, ids) < k
+            return ids[first], tags[first], mine[first], scores[first]
+
+        def out():
+            ids, tags, mine, scores = settled()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(mine), pa.array(tags), pa.array(scores)],
+                names=["query_id", "vec_id", "tag", "score"],
+            )
+
+        waiting = 0
         for row in grid.rows_of(batches):
             dim = row["dim"]
             q, x = grid.unpack(row["q_vec"], dim), grid.unpack(row["vec"], dim)
-            ids, mine, tags = (
-                np.frombuffer(row[c], np.int64) for c in ("q_id", "id", "tag")
-            )
-            asked = np.frombuffer(row["q_probes"], np.int32).reshape(len(ids), tables, -1)
-            asking = np.flatnonzero((asked[:, row["tbl"]] == row["bucket"]).any(axis=1))
-            for a in range(0, len(asking), TILE):
-                at = asking[a:a + TILE]
-                scores = q[at] @ x.T
-                scores[ids[at, None] == mine[None, :]] = -np.inf
+            ids, mine, tags = (np.frombuffer(row[c], np.int64) for c in ("q_id", "id", "tag"))
+            for a in range(0, len(ids), TILE):
+                part, own = q[a:a + TILE], ids[a:a + TILE]
+                scores = part @ x.T
+                scores[own[:, None] == mine[None, :]] = -np.inf
                 # A matrix product may round equal vectors differently: take all that could be
                 # among the k best and score them one by one.
-                least = np.full(len(at), -np.inf)
+                least = np.full(len(own), -np.inf)
                 if scores.shape[1] > k:
                     least = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-                slack = 1e-12 * np.linalg.norm(q[at], axis=1) * np.linalg.norm(x, axis=1).max()
+                slack = 1e-12 * np.linalg.norm(part, axis=1) * np.linalg.norm(x, axis=1).max()
                 r, c = np.nonzero((scores >= (least - slack)[:, None]) & (scores > -np.inf))
-                exact = (q[at[r]] * x[c]).sum(axis=1)
+                exact = (part[r] * x[c]).sum(axis=1)
                 by = np.lexsort((mine[c], -exact, r))
                 r, c, exact = r[by], c[by], exact[by]
                 best = np.arange(len(r)) - np.searchsorted(r, r) < k
                 r, c, exact = r[best], c[best], exact[best]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[at[r]]), pa.array(mine[c]), pa.array(tags[c]), pa.array(exact),
-                ], names=["query_id", "vec_id", "tag", "score"])
+                held.append((own[r], tags[c], mine[c], exact))
+                waiting += len(r)
+            if waiting > HELD:
+                merged = settled()
+                waiting = len(merged[0])
+                held[:] = [merged]
+                if waiting > HELD / 2:  # of that many different queries
+                    yield out()
+                    held.clear()
+                    waiting = 0
+        if held:
+            yield out()
 
     return run
 
@@ -144,29 +172,29 @@ def search(
     tables: int = TABLES, probes: int = PROBES, seed: int = 7,
 ) -> DataFrame:
     """query_id, rank, vec_id, score for every id divisible by ``divisor``."""
-    spark = embeddings.sparkSession
     rows = grid.usable(embeddings, by, vector)
     rows = rows.where(F.exists("vec", lambda x: x != 0))
     queries = stored(
         grid.distinct_queries(rows.where(grid.id_matches(F.col("id"), divisor))), "queries"
     )
-    lines = grid.lines_for(queries.count())
-    columns = grid.columns_for(rows.count() * tables, spark)
-    entries = index(rows, tables, seed).repartition(columns, "tbl", "bucket", "dim", F.pmod(
-        "tag", F.lit(max(1, columns // (tables * 128)))  # beyond 128 buckets a table: split them
-    )).sortWithinPartitions("dim", "tbl", "bucket")
-    blocks = stored(
-        grid.pack(entries, ["dim", "tbl", "bucket"], ["tag", "id"], grid.VECTORS_PER_BLOCK),
-        "buckets",
+    blocks = _dealt(_hashed(rows, ["tag", "id"], tables, 1, seed), ["tag", "id"], rows.count() * tables)
+    blocks = stored(blocks.withColumn("mark", F.monotonically_increasing_id()), "buckets")
+    # Blocks in a bucket, and with them its share of tasks: tables x axes rows at most per length.
+    bucket = ["dim", "tbl", "bucket"]
+    shares = stored(blocks.groupBy(*bucket).agg(
+        F.ceil(F.count("*") / BLOCKS_PER_TASK).cast("int").alias("shares")
+    ), "shares")
+    probed = _dealt(_hashed(queries, ["id"], tables, probes, seed), ["id"], queries.count() * tables * probes)
+    probed = stored(probed, "probes").join(shares, bucket).select(
+        *bucket, F.col("id").alias("q_id"), F.col("vec").alias("q_vec"),
+        F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"),
+    )
+    entries = blocks.join(shares, bucket).select(
+        *bucket, "tag", "id", "vec", F.pmod(F.xxhash64("mark"), F.col("shares")).cast("int").alias("share")
     )
-    dealt = queries.repartition(lines, "id").sortWithinPartitions("dim", "id")
-    packed = grid.pack(dealt, ["dim"], ["id"], grid.QUERIES_PER_BLOCK)
-    packed = stored(with_probes(packed, tables, probes, seed), "probes")
-    found = grid.meet(
-        packed, blocks, lines, columns, _nearest(k, tables),
-        "query_id long, vec_id long, tag long, score double",
+    found = entries.join(probed, [*bucket, "share"]).select("dim", "tag", "id", "vec", "q_id", "q_vec").mapInArrow(
+        _nearest(k), "query_id long, vec_id long, tag long, score double"
     )
-    # A vector met in several tables has the same score each time.
     once = found.dropDuplicates(["query_id", "tag"])
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return once.withColumn("rank", F.row_number().over(order)).where(
