@@ -25,6 +25,46 @@ def test_held_out_accuracy(predicted):
     assert all(0 <= r["score"] <= 1 for r in rows.values())
 
 
+def test_predictions_equal_sets_of_trigrams(predicted):
+    """The same rule on plain sets: shares agree but for the filter's noise, and so do the languages."""
+    docs, rows = predicted
+    given = [(r["doc_id"], r["text"], r["lang"]) for r in docs.select("doc_id", "text", "lang").collect()]
+
+    def trigrams(text):
+        plain = "".join(c if c.isalpha() else "\0" for c in f"\n\n{text.lower()}\n\n")
+        return [plain[i:i + 3] for i in range(len(plain) - 2) if plain[i + 1] != "\0"]
+
+    count, total = {}, {}
+    for i, text, lang in given:
+        if text is not None and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            total[lang] = total.get(lang, 0) + 1
+            for g in set(trigrams(text)):
+                count[lang, g] = count.get((lang, g), 0) + 1
+    known = {l: {g for (k, g), n in count.items() if k == l and n >= max(2, 0.01 * total[l])} for l in total}
+    compared = 0
+    for i, text, _ in given:
+        grams = trigrams(text or "")
+        if not grams:
+            assert (rows[i]["lang_pred"], rows[i]["score"]) == (language.UNKNOWN, 0.0)
+            continue
+        shares = sorted(((sum(g in known[l] for g in grams) / len(grams), l) for l in known), reverse=True)
+        if len(grams) >= 50:
+            assert abs(rows[i]["score"] - shares[0][0]) < 0.05, i
+            if shares[0][0] - shares[1][0] > 0.05:
+                assert rows[i]["lang_pred"] == shares[0][1], i
+                compared += 1
+    assert compared > 0.8 * len(given)
+
+
+def test_languages_of_one_document_and_too_many(spark, documents, monkeypatch):
+    docs = documents([(1, "der hund und die katze", "de"), (2, "the dog and the cat", "en"), (3, "die katze", None)])
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, language.fit(docs), ["doc_id"]).collect()}
+    assert got == {1: "de", 2: "en", 3: "de"}
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 1)
+    with pytest.raises(ValueError):
+        language.fit(docs)
+
+
 def test_filter_agrees_with_sets():
     texts = ["abc abd", "xyz xyw", "abc xyz"]
     grams = []

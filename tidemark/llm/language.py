@@ -1,7 +1,7 @@
 """Language identification with language-bitmask n-gram filters.
 
 Fitting counts, per language, in how many documents each character n-gram occurs, and keeps the
-n-grams found in at least ``least_share`` of a language's documents. They go into one bit-sliced
+n-grams found in at least ``least_share`` of a language's documents, and in two where it has two. They go into one bit-sliced
 Bloom filter: every slot holds a bitmask with one bit per language, an n-gram sets its languages'
 bits in ``HASHES`` slots, and one lookup (the AND of the slots) returns all languages that contain
 it. Prediction counts, per language, the n-grams whose mask has its bit; the share is corrected for
@@ -11,7 +11,7 @@ An n-gram is three characters of the lower-cased text around a letter, everythin
 one blank symbol, so single letters and word ends count too.
 
 The sample for fitting is bounded by ``rows_per_language`` (documented parameter; rows are chosen by
-a hash of their id). Everything else covers all rows and whole texts.
+a hash of their id), and more than ``MOST_LANGUAGES`` languages are an error. Everything else covers all rows and whole texts.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0, and so is every text
 when nothing was learned. Equal shares go to the smaller language code; a text of unseen n-grams
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.llm.arrow import named, with_arrow
 
 HASHES = 3
+MOST_LANGUAGES = 4096
 CHUNK = 2_000_000  # characters looked up at once
 UNKNOWN = "und"
 _MIX = tuple(np.uint64(c) for c in (
@@ -131,7 +132,10 @@ def fit(
     usable = docs.where(
         named(lang).isNotNull() & named(text).isNotNull() & named(by).isNotNull()
     ).select(named(by).alias("by"), named(text).alias("text"), named(lang).alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counted = usable.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counted) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: clean the column first")
+    sizes = {r["lang"]: r["n"] for r in counted}
     languages = sorted(sizes)
     if not languages:
         return Filter.build([], [])
@@ -166,7 +170,7 @@ def fit(
     )
     totals = counts.where(F.col("gram").isNull()).select("l", F.col("n").alias("docs"))
     frequent = counts.where(F.col("gram").isNotNull()).join(F.broadcast(totals), "l").where(
-        F.col("n") >= F.greatest(F.lit(2), F.col("docs") * least_share)
+        F.col("n") >= F.greatest(F.least(F.lit(2), F.col("docs")), F.col("docs") * least_share)
     ).select("l", "gram").toPandas()
     parts = dict(list(frequent.groupby("l")["gram"]))
     grams = [
