@@ -8,7 +8,8 @@ tokens comes back whole, and ids cut in the middle of one give its bare bytes.
 
 Defined cases: a NULL text is empty; an empty text has no ids; NULL ids decode to empty bytes;
 special-token strings in a text are ordinary text; texts of any length are encoded whole; repeated
-rows are encoded alike; other columns of the input pass through if named in ``keep``.
+rows are encoded alike; an empty table gives no rows; other columns of the input pass through if
+named in ``keep``.
 """
 
 from __future__ import annotations

@@ -290,7 +290,8 @@ def mine(
 
 def relabelled(by: str = "vec_id", label: str = "label") -> Column:
     """The label, moved on by one of ten where the id is divisible by 7."""
-    return F.when(named(by) % 7 == 0, (named(label) + 1) % 10).otherwise(named(label))
+    value = named(label).cast("long")
+    return F.when(named(by) % 7 == 0, (value + 1) % 10).otherwise(value)
 
 
 def report(embeddings: DataFrame) -> DataFrame:

@@ -22,7 +22,8 @@ sends a place to step 2), ties by 64 bits beside a bucket that a second polynomi
 
 Defined cases: NULL texts are empty; texts shorter than ``length`` bytes lose nothing; strings never
 cross documents but may repeat and overlap within one; repeated rows are copies of each other; NULL
-ids stay; documents longer than a block are a block of their own.
+ids stay; documents longer than a block are a block of their own; an empty table gives no rows; extra
+columns are left out. Nothing is ranked, so there are no ties to settle.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ Defined cases: rows without id and vectors that are NULL or hold a NULL or non-f
 (before or after scaling) take no part; vectors of another length than the query's are not its
 candidates; every other row is a candidate of its own, repeated ids included, but for the query's
 own id; an id that is a query several times asks once, with its smallest vector. With fewer than k
-candidates all are returned; an empty table gives no rows.
+candidates all are returned; an empty table gives no rows; extra columns are left out.
 """
 
 from __future__ import annotations

@@ -91,16 +91,14 @@ class UnitEncoder:
                 known.clear()
         cache = self.cache
         out = list(map(cache.get, units))
-        if None in out:
-            for i, found in enumerate(out):
-                if found is None:
-                    unit = units[i]
-                    found = cache.get(unit)
-                    if found is None:
-                        found = self._unit(unit)
-                        if len(unit) <= LONGEST_CACHED:
-                            cache[unit] = found
-                    out[i] = found
+        for i in [i for i, found in enumerate(out) if found is None] if None in out else ():
+            unit = units[i]
+            found = cache.get(unit)
+            if found is None:
+                found = self._unit(unit)
+                if len(unit) <= LONGEST_CACHED:
+                    cache[unit] = found
+            out[i] = found
         return np.frombuffer(b"".join(out), self.dtype)
 
 

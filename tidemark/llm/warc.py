@@ -12,7 +12,8 @@ responses and the others revisit it; smaller payloads are responses always.
 Defined cases: a NULL payload is empty; a NULL URL is an empty target; control characters and
 blanks in a URL are percent-encoded; rows with a NULL id never become the target of revisits, and
 if a payload has no id at all its records are responses; repeated rows give a record each (those
-of the smallest id are all responses). Payloads are stored whole.
+of the smallest id are all responses). Payloads are stored whole; an empty table makes an empty archive;
+extra columns are left out.
 """
 
 from __future__ import annotations
