@@ -66,15 +66,15 @@ class UnitEncoder:
         pieces = self.pieces(unit)
         if pieces is None:
             return self._bytes(self.tokenizer.encode(unit, add_special_tokens=False).ids)
-        out = []
+        out, parts = b"", self.parts
         for piece in pieces:
-            ids = self.parts.get(piece)
+            ids = parts.get(piece)
             if ids is None:
                 ids = self._bytes([t.id for t in self.model.tokenize(piece)])
                 if len(piece) <= LONGEST_CACHED:
-                    self.parts[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+                    parts[piece] = ids
+            out += ids
+        return out
 
     def ids(self, text: str) -> np.ndarray:
         if not any(mark in text for mark in self.marks):
