@@ -8,8 +8,8 @@ and their exact inner products on the original vectors decide.
 Rows and probes meet by an equi-join on table and bucket: a row is sent once a table, a query once a
 probe, so what moves grows with the rows. Both sides are packed into blocks inside each bucket. A
 bucket of more than ``BLOCKS_PER_TASK`` vector blocks, whatever its share of all rows, is dealt out
-over several tasks, and its queries go to each of them. The nearest of a query are kept per task and
-then per query. Tables, probes and the buckets' number do not depend on the size of the data; every
+over several tasks, and its queries go to each of them. The nearest of a query are kept per share of a bucket
+and then over all. Tables, probes and the buckets' number do not depend on the size of the data; every
 row is indexed.
 
 Defined cases: rows without id and vectors that are NULL, zero or hold a NULL or non-finite
@@ -36,7 +36,6 @@ PROBES = 16
 ROUNDS = 3
 TILE = 512
 BLOCKS_PER_TASK = 16  # vector blocks of one bucket that meet its queries in one task
-HELD = 2_000_000  # entries of a task's queries before they are merged
 
 
 def _signs(dim: int, tables: int, seed: int) -> np.ndarray:
@@ -106,22 +105,15 @@ def _dealt(hashed: DataFrame, marks: list[str], count: int) -> DataFrame:
 
 
 def _nearest(k: int):
-    """The k nearest of every query of a task, over all its pairs of blocks."""
+    """The k nearest of every query of a block, over the vector blocks it meets one after the other."""
     def run(batches):
-        held: list[tuple] = []
+        key, held = None, []
 
         def settled():
             ids, tags, mine, scores = (np.concatenate(c) for c in zip(*held))
-            # A vector met in several tables has the same score each time.
-            by = np.lexsort((tags, ids))
-            ids, tags, mine, scores = ids[by], tags[by], mine[by], scores[by]
-            once = np.ones(len(ids), bool)
-            once[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
-            ids, tags, mine, scores = ids[once], tags[once], mine[once], scores[once]
             by = np.lexsort((mine, -scores, ids))
-            ids, tags, mine, scores = ids[by], tags[by], mine[by], scores[by]
-            first = np.arange(len(ids)) - np.searchsorted(ids, ids) < k
-            return ids[first], tags[first], mine[first], scores[first]
+            by = by[np.arange(len(by)) - np.searchsorted(ids[by], ids[by]) < k]
+            return ids[by], tags[by], mine[by], scores[by]
 
         def out():
             ids, tags, mine, scores = settled()
@@ -130,8 +122,12 @@ def _nearest(k: int):
                 names=["query_id", "vec_id", "tag", "score"],
             )
 
-        waiting = 0
         for row in grid.rows_of(batches):
+            mark = (row["tbl"], row["bucket"], row["q_id"])
+            if mark != key:
+                if held:
+                    yield out()
+                key, held = mark, []
             dim = row["dim"]
             q, x = grid.unpack(row["q_vec"], dim), grid.unpack(row["vec"], dim)
             ids, mine, tags = (np.frombuffer(row[c], np.int64) for c in ("q_id", "id", "tag"))
@@ -151,16 +147,10 @@ def _nearest(k: int):
                 r, c, exact = r[by], c[by], exact[by]
                 best = np.arange(len(r)) - np.searchsorted(r, r) < k
                 r, c, exact = r[best], c[best], exact[best]
-                held.append((own[r], tags[c], mine[c], exact))
-                waiting += len(r)
-            if waiting > HELD:
-                merged = settled()
-                waiting = len(merged[0])
-                held[:] = [merged]
-                if waiting > HELD / 2:  # of that many different queries
-                    yield out()
-                    held.clear()
-                    waiting = 0
+                if len(r):
+                    held.append((own[r], tags[c], mine[c], exact))
+            if len(held) > 64:
+                held = [settled()]
         if held:
             yield out()
 
@@ -192,9 +182,12 @@ def search(
     entries = blocks.join(shares, bucket).select(
         *bucket, "tag", "id", "vec", F.pmod(F.xxhash64("mark"), F.col("shares")).cast("int").alias("share")
     )
-    found = entries.join(probed, [*bucket, "share"]).select("dim", "tag", "id", "vec", "q_id", "q_vec").mapInArrow(
-        _nearest(k), "query_id long, vec_id long, tag long, score double"
+    # Query blocks lead, so that each meets the vector blocks of its share in one go.
+    met = probed.join(entries, [*bucket, "share"]).select(
+        *bucket, "tag", "id", "vec", "q_id", "q_vec"
     )
+    found = met.mapInArrow(_nearest(k), "query_id long, vec_id long, tag long, score double")
+    # A vector met in several tables has the same score each time.
     once = found.dropDuplicates(["query_id", "tag"])
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return once.withColumn("rank", F.row_number().over(order)).where(
