@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.arrow import named, with_arrow
-from tidemark.llm.graph import components, stored
+from tidemark.llm.graph import SALTS, components, stored
 
 RADIUS = 2
 CROWDED = 64
@@ -157,9 +157,16 @@ def classes(prints: DataFrame, by: str, fp: str = "fingerprint") -> DataFrame:
 def near_duplicates(docs: DataFrame, by: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, fingerprint (long) and component, the smallest id reachable over links."""
     prints = stored(fingerprints(docs, [by], text), "fingerprints")
-    groups = classes(prints, by)
-    joined = prints.join(groups, prints["fingerprint"] == groups["fp"])
-    return joined.select(named(by), "fingerprint", F.col("component").alias("component_id"))
+    # Rows of one fingerprint are spread over groups; its component follows them where they are.
+    spread = prints.select(
+        named(by).alias("_by"), "fingerprint", F.pmod(F.xxhash64(named(by)), F.lit(SALTS)).alias("_salt")
+    )
+    groups = spread.select("fingerprint", "_salt").distinct().join(
+        classes(prints, by), F.col("fingerprint") == F.col("fp")
+    ).select("fingerprint", "_salt", "component")
+    return spread.join(groups, ["fingerprint", "_salt"]).select(
+        F.col("_by").alias(by), "fingerprint", F.col("component").alias("component_id")
+    )
 
 
 def report(docs: DataFrame) -> DataFrame:
