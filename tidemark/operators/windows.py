@@ -1,7 +1,7 @@
 """Aggregates over any number of date windows, overlapping or not, without comparing rows to windows.
 
-Days are cut into blocks of 1, 2, 4, ... days. A day's rows are combined first, then each block's;
-every window is a disjoint union of at most two blocks of each size, so it meets its blocks in an
+Days are cut into blocks of 1, 8, 64, ... days. A day's rows are combined first, then each block's;
+every window is a disjoint union of at most 14 blocks of each size, so it meets its blocks in an
 equi-join and adds them up. The work is that of the days and of the windows, never of their product.
 """
 
@@ -13,30 +13,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.panel import day_number
 
-LEVELS = 14  # the largest blocks have 2^14 days
+WIDTH, LEVELS = 8, 4  # the largest blocks have 8^4 days
+
+
+def _named(level: int) -> Callable[[Column], Column]:
+    return lambda block: F.struct(F.lit(level).alias("level"), block.alias("block"))
 
 
 def _blocks(first: Column, last: Column) -> Column:
     """The blocks (level, block) that together are the days ``first`` to ``last``."""
     low, high = day_number(first), day_number(last) + 1
+    none = F.array().cast("array<int>")
     parts = []
-    for level in range(LEVELS):
-        a = F.shiftright(low + ((1 << level) - 1), level)
-        b = F.shiftright(high, level)
-        here = a < b
-        parts += [
-            F.when(here & (F.pmod(a, F.lit(2)) == 1), F.struct(F.lit(level).alias("level"), a.alias("block"))),
-            F.when(here & (F.pmod(b, F.lit(2)) == 1), F.struct(F.lit(level).alias("level"), (b - 1).alias("block"))),
-        ]
-    a = F.shiftright(low + ((1 << LEVELS) - 1), LEVELS)
-    b = F.shiftright(high, LEVELS)
-    largest = F.when(a < b, F.transform(
-        F.sequence(a, F.greatest(a, b - 1)),
-        lambda n: F.struct(F.lit(LEVELS).alias("level"), n.alias("block")),
-    ))
-    return F.concat(F.array_compact(F.array(*parts)), F.coalesce(largest, F.array().cast(
-        "array<struct<level:int,block:int>>"
-    )))
+    for level in range(LEVELS + 1):
+        size = WIDTH ** level
+        a = F.ceil(low / size).cast("int")
+        b = F.floor(high / size).cast("int")
+        # Blocks up to the next larger one, and from the last larger one on.
+        up, down = b, b
+        if level < LEVELS:
+            up = F.least((F.ceil(a / WIDTH) * WIDTH).cast("int"), b)
+            down = F.greatest((F.floor(b / WIDTH) * WIDTH).cast("int"), up)
+        own = F.concat(
+            F.when(a < up, F.sequence(a, F.greatest(a, up - 1))).otherwise(none),
+            F.when(down < b, F.sequence(down, F.greatest(down, b - 1))).otherwise(none),
+        )
+        parts.append(F.transform(F.when(a < b, own).otherwise(none), _named(level)))
+    return F.concat(*parts)
 
 
 def over_windows(
@@ -55,7 +58,9 @@ def over_windows(
     )
     day = day_number("_date")
     levels = F.array(*[
-        F.struct(F.lit(level).alias("_level"), F.shiftright(day, level).alias("_block"))
+        F.struct(
+            F.lit(level).alias("_level"), F.floor(day / WIDTH ** level).cast("int").alias("_block")
+        )
         for level in range(LEVELS + 1)
     ])
     merged = [merge[n](n).alias(n) for n in partial]
