@@ -26,12 +26,13 @@ def _hung(edges: DataFrame, node: str, near: str, out: str) -> tuple[DataFrame,
 
     A node's edges are spread over ``SALTS`` groups by their other end, and the smallest neighbour
     follows them into the groups that exist: a node with very many edges never meets them in one task.
+    Sides that look small are not broadcast, since every round would leave its copies with the driver.
     """
     spread = edges.withColumn("_salt", F.pmod(F.xxhash64(near), F.lit(SALTS)))
     groups = spread.groupBy(node, "_salt").agg(F.min(near).alias("_m"))
     least = groups.groupBy(node).agg(F.min("_m").alias(out))
-    known = groups.select(node, "_salt").join(least, node)
-    return least, spread.join(known, [node, "_salt"]).select(node, near, out)
+    known = groups.select(node, "_salt").join(least.hint("merge"), node)
+    return least, spread.join(known.hint("merge"), [node, "_salt"]).select(node, near, out)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def components(edges: DataFrame) -> DataFrame:
         ).where(F.col("hi") != F.col("lo"))
         following, new_path = _stored_at(small.distinct(), "edges")
         new_count = following.count()
-        same = new_count == count and following.join(current, ["hi", "lo"], "left_anti").isEmpty()
+        same = new_count == count and following.join(current.hint("merge"), ["hi", "lo"], "left_anti").isEmpty()
         discard([path])
         current, path, count = following, new_path, new_count
         if same:

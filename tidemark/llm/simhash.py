@@ -104,7 +104,7 @@ def links(fps: DataFrame) -> DataFrame:
     crowded = table.groupBy("half", "key").agg(F.count("*").alias("n")).where(
         F.col("n") > CROWDED
     ).select("half", "key")
-    entries = table.join(crowded, ["half", "key"], "left_anti").select(
+    entries = table.join(crowded.hint("merge"), ["half", "key"], "left_anti").select(
         "half", "key", F.col("fp").alias("other")
     ).unionByName(crowded.withColumn("other", F.lit(None).cast("long")))
     changes = F.array(*[
@@ -117,7 +117,7 @@ def links(fps: DataFrame) -> DataFrame:
         "fp", "half", fp.bitwiseAND(F.col("mask")).bitwiseXOR(F.col("bit")).alias("key")
     )
     met = stored(
-        probes.join(entries, ["half", "key"]).where(
+        probes.join(entries.hint("merge"), ["half", "key"]).where(
             F.col("other").isNull()
             | ((fp != F.col("other")) & (F.bit_count(fp.bitwiseXOR(F.col("other"))) <= RADIUS))
         ).select("fp", "other"), "met",
@@ -145,11 +145,11 @@ def classes(prints: DataFrame, by: str, fp: str = "fingerprint") -> DataFrame:
         prints.groupBy(named(fp).alias("fp")).agg(F.min(named(by)).alias("low")), "prints"
     )
     reach = stored(components(links(distinct.select("fp"))), "reach")
-    named_roots = reach.join(distinct, reach["node"] == distinct["fp"]).groupBy("root").agg(
+    named_roots = reach.join(distinct.hint("merge"), reach["node"] == distinct["fp"]).groupBy("root").agg(
         F.min("low").alias("component")
     )
-    grouped = reach.join(named_roots, "root").select("node", "component")
-    return distinct.join(grouped, F.col("fp") == F.col("node"), "left").select(
+    grouped = reach.join(named_roots.hint("merge"), "root").select("node", "component")
+    return distinct.join(grouped.hint("merge"), F.col("fp") == F.col("node"), "left").select(
         "fp", F.coalesce("component", "low").alias("component")
     )
 
@@ -162,9 +162,9 @@ def near_duplicates(docs: DataFrame, by: str = "doc_id", text: str = "text") ->
         named(by).alias("_by"), "fingerprint", F.pmod(F.xxhash64(named(by)), F.lit(SALTS)).alias("_salt")
     )
     groups = spread.select("fingerprint", "_salt").distinct().join(
-        classes(prints, by), F.col("fingerprint") == F.col("fp")
+        classes(prints, by).hint("merge"), F.col("fingerprint") == F.col("fp")
     ).select("fingerprint", "_salt", "component")
-    return spread.join(groups, ["fingerprint", "_salt"]).select(
+    return spread.join(groups.hint("merge"), ["fingerprint", "_salt"]).select(
         F.col("_by").alias(by), "fingerprint", F.col("component").alias("component_id")
     )
 
