@@ -1,10 +1,16 @@
 """What the whole job reads, moves and computes beside its results."""
 
 import datetime as dt
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
+from check import cells
 from tidemark.operators import clean as C
+from tidemark.operators.waves import detect_peaks, join_for, label_waves
+from tidemark.plans import catalog
+from tidemark.plans.stages import Settings, run_stages
 from tidemark.sources import io
 from tidemark.sources.shared import fresh_path
 from tidemark.spec import COUNT_COLUMNS, RAW_COLUMNS
@@ -59,3 +65,36 @@ def test_whole_numbers_are_not_rounded_through_text(spark):
     want = df.select(F.round(number).try_cast("bigint").alias("total_cases"))
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
     assert "rint" in plan_of(got)
+
+
+@pytest.mark.parametrize("join", ["broadcast", "shuffle_hash"])
+def test_waves_are_the_same_however_peaks_reach_their_rows(spark, join):
+    panel = C.clean(raw_rows(spark, land("A", "a") + land("B", "b") + land(None, "c", 9)))
+    peaks = detect_peaks(panel, distance=5, least=2).localCheckpoint()
+    one, other = label_waves(panel, peaks, unique=True, join=join), label_waves(panel, peaks)
+    assert cells(one.toPandas()) == cells(other.select(one.columns).toPandas())
+    assert one.agg(F.max("wave_number")).first()[0] > 1 and join_for(peaks) == "broadcast"
+
+
+@pytest.mark.parametrize("others", [[], land("A", "other", 30), land("", "d") + land("", "e")])
+def test_waves_of_the_job_are_those_of_windows(spark, others):
+    """Also where a code, or a blank one, goes by two labels."""
+    source = io.write(raw_rows(spark, land("A", "a") + land("B", "b") + others), fresh_path(spark, "t"), "csv")
+    out = fresh_path(spark, "t")
+    done = run_stages(spark, source, out, Settings(distance=5, least=2, stages=("clean", "analyse")))
+    assert done.exit_code == 0, done.status
+    panel = spark.read.parquet(f"{out}/panel")
+    want = label_waves(panel, detect_peaks(panel, distance=5, least=2))
+    made = spark.read.parquet(f"{out}/waves")
+    assert cells(made.toPandas()) == cells(want.select(made.columns).toPandas())
+
+
+def test_wave_view_of_the_job_needs_no_other_tables(spark):
+    source = io.write(raw_rows(spark, land("A", "a") + land("B", "b")), fresh_path(spark, "t"), "csv")
+    out = fresh_path(spark, "t")
+    done = run_stages(spark, source, out, Settings(distance=5, least=2, min_pop=catalog.MIN_POP))
+    assert done.exit_code == 0, done.status
+    # Neither a fact nor entities: asking for them fails.
+    w = SimpleNamespace(tables=SimpleNamespace(spark=spark, folder="job"))
+    catalog._runs[spark.sparkContext.applicationId, "job"] = (out, sorted(done.tables))
+    assert catalog._queries["full_run_waves"](w).count() > 2
