@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from check import cells
 from tidemark.operators import clean as C
 from tidemark.operators.waves import detect_peaks, join_for, label_waves
-from tidemark.plans import catalog
+from tidemark.plans import catalog, warehouse
 from tidemark.plans.stages import Settings, run_stages
 from tidemark.sources import io
 from tidemark.sources.shared import fresh_path
@@ -98,3 +98,24 @@ def test_wave_view_of_the_job_needs_no_other_tables(spark):
     w = SimpleNamespace(tables=SimpleNamespace(spark=spark, folder="job"))
     catalog._runs[spark.sparkContext.applicationId, "job"] = (out, sorted(done.tables))
     assert catalog._queries["full_run_waves"](w).count() > 2
+
+
+def test_spread_rows_come_in_a_task_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(warehouse, "_built", {})
+    monkeypatch.setattr(warehouse, "Warehouse", lambda *given: given)
+    warehouse.open_warehouse(spark, "nowhere")
+    saved = warehouse.save_bucketed(
+        spark.createDataFrame([(f"S{i}", START) for i in range(64)], "iso_code string, date date"), "t", 8
+    )
+    assert "Bucketed: true" in plan_of(saved)
+    assert int(spark.conf.get(warehouse.LEAST_TASKS)) > spark.sparkContext.defaultParallelism
+
+
+def test_packed_text_is_packed_quickly(spark):
+    rows = spark.range(200_000).select(F.concat(F.col("id"), F.lit("-"), F.col("id") % 7).alias("a")).coalesce(1)
+    size = {}
+    for level in ("BEST_SPEED", None):
+        path = io.write(rows, fresh_path(spark, "t"), "csv", compression="gzip", level=level)
+        size[level] = sum(n for _, n in io.commits.children(spark, path))
+        assert spark.read.option("header", True).csv(path).count() == 200_000
+    assert size["BEST_SPEED"] > size[None] and catalog.PACKED["level"] == "BEST_SPEED"
